@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from spanweave.llm import (
+    id_output,
+    packing,
     quality_rules,
     token_counts,
 )
 
 _MODULES = (
+    packing,
     token_counts,
+    id_output,
     quality_rules,
 )
 

@@ -11,7 +11,7 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '4')}]")
         .appName("spanweave-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
