@@ -52,3 +52,16 @@ def single_threaded() -> None:
     """Spark runs one task a core already."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     os.environ.setdefault("OMP_NUM_THREADS", "1")
+
+
+#: Rows of one long key that may be broadcast.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def with_rows_of(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is among ``keys``; these are broadcast if counted to be few, else both sides are shuffled."""
+    from pyspark.sql import functions as F
+
+    keys = materialize(keys.distinct(), "keys")
+    few = keys.count() <= MAX_BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")

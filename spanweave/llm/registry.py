@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from spanweave.llm import (
     id_output,
+    line_dedup,
     packing,
     quality_rules,
+    simhash,
     token_counts,
 )
 
 _MODULES = (
     packing,
+    simhash,
     token_counts,
+    line_dedup,
     id_output,
     quality_rules,
 )
