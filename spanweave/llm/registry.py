@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from spanweave.llm import (
+    chat_format,
+    decontamination,
     id_output,
+    language_id,
     line_dedup,
+    lm_scoring,
     packing,
     quality_rules,
     simhash,
@@ -17,6 +21,10 @@ _MODULES = (
     token_counts,
     line_dedup,
     id_output,
+    language_id,
+    lm_scoring,
+    chat_format,
+    decontamination,
     quality_rules,
 )
 
