@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from spanweave.plans import report_queries  # noqa: F401
+    from spanweave.plans import join_queries, report_queries, table_queries, window_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
