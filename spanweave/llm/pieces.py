@@ -17,8 +17,11 @@ from spanweave.llm.common import single_threaded
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 #: Pieces of a tokenizer that keeps white space: a word with one space before it, and the rest of a run of white space.
 SPACED = re.compile("(?: ?[^ \t-\r]+|[ \t-\r]+(?=[ \t-\r][^ \t-\r])|[ \t-\r]+)")
+#: Runs of letters, and of what is neither letter, digit, apostrophe nor underscore: each is a word of its own for a tokenizer that drops white space.
+RUNS = re.compile(r"[^\W\d_]+|[^\w']+")
+RUNS_ONLY = re.compile(r"(?:[^\W\d_]+|[^\w'])+")
 #: A worker forgets its pieces beyond this count, so its memory stays bounded; frequent ones are soon back.
-MAX_PIECES = 400_000
+MAX_PIECES = 800_000
 
 
 class _Codes(dict):
@@ -48,8 +51,13 @@ class PieceEncoder:
             spec = json.load(file)
         self.special = [token["content"] for token in spec["added_tokens"]]
         drops_space = spec["normalizer"] is not None and "Replace" in json.dumps(spec["normalizer"])
+        self.lowers = "Lowercase" in json.dumps(spec["normalizer"])
         self.cut = str.split if drops_space else SPACED.findall
         self.keeps_space = not drops_space
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        #: ids that begin a piece (with its space), or that end a word
+        self.marks = np.array([t.startswith("\u0120") for t in tokens] if self.keeps_space else [bool(suffix) and t.endswith(suffix) for t in tokens])
         self._forget()
 
     def _forget(self) -> None:
@@ -63,17 +71,47 @@ class PieceEncoder:
     def _learn(self) -> None:
         new, self.codes.new = self.codes.new, []
         for at in range(0, len(new), 20_000):
-            for encoding in self.tokenizer.encode_batch_fast(new[at : at + 20_000], add_special_tokens=False):
-                ids = encoding.ids
-                end = self.used + len(ids)
-                if end > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
-                if self.known == len(self.starts):
-                    self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
-                    self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
-                self.flat[self.used : end] = ids
-                self.starts[self.known], self.lengths[self.known] = self.used, len(ids)
-                self.used, self.known = end, self.known + 1
+            part = new[at : at + 20_000]
+            marks = list(map(self._count_marks, part))
+            together = [p for p, n in zip(part, marks, strict=True) if n]
+            found = iter(self._encode_together(together, [n for n in marks if n]))
+            alone = iter(self.tokenizer.encode_batch_fast([p for p, n in zip(part, marks, strict=True) if not n], add_special_tokens=False))
+            for n in marks:
+                self._keep(next(found) if n else next(alone).ids)
+
+    def _keep(self, ids) -> None:
+        end = self.used + len(ids)
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
+        if self.known == len(self.starts):
+            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
+            self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
+        self.flat[self.used : end] = ids
+        self.starts[self.known], self.lengths[self.known] = self.used, len(ids)
+        self.used, self.known = end, self.known + 1
+
+    def _count_marks(self, piece: str) -> int:
+        """Marked ids that a piece is sure to have when it is encoded among others; 0 if that isn't sure."""
+        if self.keeps_space:
+            return int(piece[0] == " " and len(piece) > 1)
+        if piece.isascii() and piece.isalpha():
+            return 1
+        return len(RUNS.findall(piece)) if RUNS_ONLY.fullmatch(piece) and RUNS_ONLY.fullmatch(piece.lower()) else 0
+
+    def _encode_together(self, pieces: list[str], marks: list[int]) -> list:
+        """Ids of pieces, from one text of many of them: a call for each piece costs several times as much."""
+        out = []
+        for at in range(0, len(pieces), 1000):
+            part, counts = pieces[at : at + 1000], np.array(marks[at : at + 1000])
+            text = "".join(part) if self.keeps_space else " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            where = np.flatnonzero(self.marks[ids])
+            if len(where) == counts.sum():
+                bounds = where if self.keeps_space else (where + 1)[np.cumsum(counts)[:-1] - 1]
+                out += np.split(ids, bounds[1:] if self.keeps_space else bounds)
+            else:
+                out += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return out
 
     def _plain(self, text: str) -> bool:
         if not text.isascii() or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
@@ -81,6 +119,14 @@ class PieceEncoder:
                 return False
         return not (self.keeps_space and any(s in text for s in self.special))
 
+    def _lower(self, text: str) -> str:
+        """In lower case where that is what the tokenizer does in any case, so that fewer pieces are distinct."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower() if self.lowers else text
+
     def _codes_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
         """Codes of all pieces, their count by text, and the ids of texts that went to the library whole."""
         if len(self.codes) > MAX_PIECES:
@@ -90,7 +136,7 @@ class PieceEncoder:
         whole: dict[int, np.ndarray] = {}
         for i, text in enumerate(texts):
             if self._plain(text):
-                own = self.cut(text)
+                own = self.cut(text if self.keeps_space else self._lower(text))
                 counts[i] = len(own)
                 pieces += own
             else:
