@@ -122,7 +122,7 @@ def write_ids(docs: DataFrame, path: str, target: str, end_id: int = END_ID) ->
 
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = coded.repartitionByRange(shards, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "data", "control")
-    ordered.mapInPandas(run, "shard int, doc_id long, local_start long, n_tokens long, control binary, data binary").write.parquet(f"{target}/ids")
+    ordered.mapInPandas(run, "shard int, doc_id long, local_start long, n_tokens long, control binary, data binary").write.option("compression", "zstd").parquet(f"{target}/ids")
 
 
 def read_ids(spark: SparkSession, target: str) -> tuple[DataFrame, np.ndarray]:
