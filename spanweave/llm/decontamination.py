@@ -28,7 +28,7 @@ from spanweave.llm.common import documents, materialize, slices
 
 QUERY = "op9_benchmark_decontamination"
 ORACLE_SQL = None  # an SVD is no SQL; tests compare with brute force over all windows
-FEATURES = 1 << 14
+FEATURES = 1 << 16
 PASSAGE = 64
 STEP = 32
 RANK = 96
@@ -46,7 +46,8 @@ BLOCK = 4096
 
 class Space(NamedTuple):
     weight: np.ndarray  # of every feature: its IDF, or 0 for common words
-    latent: np.ndarray  # features x rank; zero rows for what the benchmark lacks
+    column: np.ndarray  # of every feature: its place in the matrix, -1 for what is common or the benchmark lacks
+    latent: np.ndarray  # columns x rank
 
 
 def _tokens(texts: list[str]) -> list[np.ndarray]:
@@ -61,16 +62,17 @@ def _words(docs: DataFrame) -> DataFrame:
     """A row for each document (doc_id, words as little-endian uint32), and one for each task with its document frequencies."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, total = np.zeros(FEATURES, np.int64), 0
+        df, total, seen = np.zeros(FEATURES, np.int64), 0, np.zeros(FEATURES, bool)
         for frame in frames:
             texts = frame["text"].tolist()
             for a, b in slices(texts):
                 found = _tokens(texts[a:b])
                 total += b - a
                 for words in found:
-                    seen = np.zeros(FEATURES, bool)
-                    seen[_feature(words)] = True
-                    df += seen
+                    own = _feature(words)
+                    seen[own] = True
+                    df[np.flatnonzero(seen)] += 1
+                    seen[own] = False
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[a:b].astype("Int64"), "words": [w.astype("<u4").tobytes() for w in found], "df": None})
         yield pd.DataFrame({"doc_id": pd.array([None], dtype="Int64"), "words": None, "df": [np.append(df, total).astype("<i8").tobytes()]})
 
@@ -105,24 +107,25 @@ def _spans(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Passages(NamedTuple):
-    """Passages of several texts: the words that weigh (feature, weight) with their place in ``starts`` / ``ends`` ranges."""
+    """Passages of several texts, as ranges of the words that have a column."""
 
-    feature: np.ndarray
+    column: np.ndarray
     weight: np.ndarray
-    low: np.ndarray  # of each passage, into feature and weight
+    low: np.ndarray  # of each passage, into column and weight
     high: np.ndarray
     norm: np.ndarray
     text: np.ndarray
     start: np.ndarray
 
 
-def _passages(texts: list[np.ndarray], space_weight: np.ndarray, useful: np.ndarray) -> _Passages:
-    """Those with a useful word, and a full set of ranges for them."""
+def _passages(texts: list[np.ndarray], weights: np.ndarray, columns: np.ndarray) -> _Passages:
+    """Those with a word that has a column."""
     all_words = np.concatenate([np.empty(0, np.uint32), *texts])
     feature = _feature(all_words)
-    weight = space_weight[feature]
+    weight = weights[feature]
     squares = np.concatenate([[0], np.cumsum(weight.astype(np.float64) ** 2)])
-    some = useful[feature]
+    column = columns[feature]
+    some = column >= 0
     before = np.concatenate([[0], np.cumsum(some)])
     low, high, text, start, at = [], [], [], [], 0
     for i, words in enumerate(texts):
@@ -136,24 +139,24 @@ def _passages(texts: list[np.ndarray], space_weight: np.ndarray, useful: np.ndar
     keep = before[high] > before[low]
     low, high, text, start = low[keep], high[keep], text[keep], start[keep]
     where = np.flatnonzero(some)
-    return _Passages(feature[where], weight[where], before[low], before[high], np.sqrt(squares[high] - squares[low]), text, start)
+    return _Passages(column[where], weight[where], before[low], before[high], np.sqrt(squares[high] - squares[low]), text, start)
 
 
 def _project(p: _Passages, matrix: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF rows of passages times a features x k matrix."""
-    rows = np.concatenate([np.zeros((1, matrix.shape[1]), np.float32), np.cumsum(matrix[p.feature] * p.weight[:, None], axis=0, dtype=np.float32)])
+    """Unit TF-IDF rows of passages times a columns x k matrix."""
+    rows = np.concatenate([np.zeros((1, matrix.shape[1]), np.float32), np.cumsum(matrix[p.column] * p.weight[:, None], axis=0, dtype=np.float32)])
     return (rows[p.high] - rows[p.low]) / p.norm[:, None].astype(np.float32)
 
 
 def _normal_product(p: _Passages, matrix: np.ndarray) -> np.ndarray:
     """(transposed rows) x (rows) x matrix for the unit TF-IDF rows of passages."""
     scaled = _project(p, matrix) / p.norm[:, None].astype(np.float32)
-    steps = np.zeros((len(p.feature) + 1, matrix.shape[1]), np.float32)
+    steps = np.zeros((len(p.column) + 1, matrix.shape[1]), np.float32)
     np.add.at(steps, p.low, scaled)
     np.subtract.at(steps, p.high, scaled)
     by_word = np.cumsum(steps[:-1], axis=0) * p.weight[:, None]
-    order = np.argsort(p.feature, kind="stable")
-    found, first = np.unique(p.feature[order], return_index=True)
+    order = np.argsort(p.column, kind="stable")
+    found, first = np.unique(p.column[order], return_index=True)
     out = np.zeros(matrix.shape, np.float32)
     if len(found):
         out[found] = np.add.reduceat(by_word[order], first, axis=0)
@@ -176,26 +179,26 @@ def _batches(frames: Iterator[pd.DataFrame], most: int = 400_000) -> Iterator[tu
         yield ids, texts
 
 
-def _pass(rows: DataFrame, bench: list[np.ndarray], weight: np.ndarray, useful: np.ndarray, columns: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+def _pass(rows: DataFrame, bench: list[np.ndarray], weight: np.ndarray, column: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """The normal product over all passages; the benchmark's weigh as much as the corpus' together."""
-    full = np.zeros((FEATURES, matrix.shape[1]), np.float32)
-    full[columns] = matrix
+    shared = rows.sparkSession.sparkContext.broadcast((weight, column, matrix))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weight, column, matrix = shared.value
         total, n = np.zeros_like(matrix), 0
         for _, texts in _batches(frames):
-            p = _passages(texts, weight, useful)
+            p = _passages(texts, weight, column)
             n += len(p.low)
-            total += _normal_product(p, full)[columns]
+            total += _normal_product(p, matrix)
         yield pd.DataFrame({"v": [np.append(total.reshape(-1), n).astype("<f8").tobytes()]})
 
     summed = _sum_vectors(rows.select("doc_id", "words").mapInPandas(run, "v binary"), "v", "<f8")
     own = np.zeros(matrix.shape)
     count = 0
     for at in range(0, len(bench), 1000):
-        p = _passages(bench[at : at + 1000], weight, useful)
+        p = _passages(bench[at : at + 1000], weight, column)
         count += len(p.low)
-        own += _normal_product(p, full)[columns]
+        own += _normal_product(p, matrix)
     corpus = summed[:-1].reshape(matrix.shape) if len(summed) else np.zeros(matrix.shape)
     return corpus + own * (max(summed[-1] if len(summed) else 0, count) / max(1, count))
 
@@ -209,19 +212,18 @@ def fit_space(rows: DataFrame, df: np.ndarray, bench: list[np.ndarray]) -> Space
         in_bench[_feature(words)] = True
     rare = df[:-1] <= max(COMMON * total, 2)
     weight[~rare] = 0
-    useful = in_bench & rare
-    columns = np.flatnonzero(useful)
-    latent = np.zeros((FEATURES, 0), np.float32)
-    k = min(len(columns), RANK + OVERSAMPLE)
+    useful = np.flatnonzero(in_bench & rare)
+    column = np.full(FEATURES, -1, np.int32)
+    column[useful] = np.arange(len(useful))
+    latent = np.zeros((len(useful), 0), np.float32)
+    k = min(len(useful), RANK + OVERSAMPLE)
     if k:
-        start = np.random.default_rng(3).standard_normal((len(columns), k)).astype(np.float32)
-        basis, _ = np.linalg.qr(_pass(rows, bench, weight, useful, columns, start))
-        again = _pass(rows, bench, weight, useful, columns, basis.astype(np.float32))
+        start = np.random.default_rng(3).standard_normal((len(useful), k)).astype(np.float32)
+        basis, _ = np.linalg.qr(_pass(rows, bench, weight, column, start))
+        again = _pass(rows, bench, weight, column, basis.astype(np.float32))
         values, turn = np.linalg.eigh(basis.T @ again)
-        best = basis @ turn[:, np.argsort(-values)[:RANK]]
-        latent = np.zeros((FEATURES, best.shape[1]), np.float32)
-        latent[columns] = best
-    return Space(weight, latent)
+        latent = (basis @ turn[:, np.argsort(-values)[:RANK]]).astype(np.float32)
+    return Space(weight, column, latent)
 
 
 def lcs(a: list[int], b: list[int]) -> int:
@@ -247,18 +249,17 @@ def overlap(item: np.ndarray, text: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.ndarray]]) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer) for one block of benchmark items."""
-    useful = np.any(space.latent != 0, axis=1)
-    own = _passages([w for _, w in items], space.weight, useful)
+    own = _passages([w for _, w in items], space.weight, space.column)
     targets = _project(own, space.latent)
     size = np.linalg.norm(targets, axis=1, keepdims=True)
     targets = np.divide(targets, size, out=np.zeros_like(targets), where=size > 0)
     owners = own.text
-    shared = rows.sparkSession.sparkContext.broadcast((space, useful, targets, owners, items))
+    shared = rows.sparkSession.sparkContext.broadcast((space, targets, owners, items))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        space, useful, targets, owners, items = shared.value
+        space, targets, owners, items = shared.value
         for ids, texts in _batches(frames):
-            p = _passages(texts, space.weight, useful)
+            p = _passages(texts, space.weight, space.column)
             best: dict[tuple[int, int], tuple] = {}
             for at in range(0, len(p.low), 8192):
                 part = p._replace(low=p.low[at : at + 8192], high=p.high[at : at + 8192], norm=p.norm[at : at + 8192])
