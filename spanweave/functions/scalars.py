@@ -78,7 +78,7 @@ def dollars(c: Column) -> Column:
 
 def given_name_first(c: Column) -> Column:
     """'Last, First' as 'First Last'."""
-    return F.when(c.contains(","), F.array_join(F.reverse(F.transform(F.split(c, ",", 2), F.trim)), " ")).otherwise(F.trim(c))
+    return F.when(c.contains(","), F.array_join(F.reverse(F.transform(F.split(c, ",", 2), lambda x: F.trim(x))), " ")).otherwise(F.trim(c))
 
 
 def plain_name(c: Column) -> Column:

@@ -78,7 +78,7 @@ def money_parse(spark, sf_dir):
     """,
 )
 def name_normalize(spark, sf_dir):
-    swapped = S.given_name_first(F.replace(F.col("c_name"), F.lit("#"), F.lit(", ")))
+    swapped = S.given_name_first(F.regexp_replace(F.col("c_name"), "#", ", "))
     return table(spark, sf_dir, "customer").select("c_custkey", S.plain_name(swapped).alias("name"))
 
 
