@@ -71,6 +71,7 @@ def _tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 out = pd.DataFrame(rows, columns=["n_tokens", "control", "data"])
                 out.insert(0, "doc_id", frame["doc_id"].iloc[a:b].to_numpy())
                 yield out
+        own.forget()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, _ROWS)
 

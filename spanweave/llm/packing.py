@@ -50,6 +50,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                 out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
+        own.forget()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

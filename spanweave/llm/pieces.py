@@ -21,7 +21,7 @@ SPACED = re.compile("(?: ?[^ \t-\r]+|[ \t-\r]+(?=[ \t-\r][^ \t-\r])|[ \t-\r]+)")
 RUNS = re.compile(r"[^\W\d_]+|[^\w']+")
 RUNS_ONLY = re.compile(r"(?:[^\W\d_]+|[^\w'])+")
 #: A worker forgets its pieces beyond this count, so its memory stays bounded; frequent ones are soon back.
-MAX_PIECES = 800_000
+MAX_PIECES = 500_000
 
 
 class _Codes(dict):
@@ -58,9 +58,10 @@ class PieceEncoder:
         suffix = spec["model"].get("end_of_word_suffix") or ""
         #: ids that begin a piece (with its space), or that end a word
         self.marks = np.array([t.startswith("\u0120") for t in tokens] if self.keeps_space else [bool(suffix) and t.endswith(suffix) for t in tokens])
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop the pieces learned; a task does so at its end, as its worker goes on to other work."""
         self.codes = _Codes()
         self.flat = np.empty(1 << 16, np.uint32)
         self.used = 0
@@ -130,7 +131,7 @@ class PieceEncoder:
     def _codes_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
         """Codes of all pieces, their count by text, and the ids of texts that went to the library whole."""
         if len(self.codes) > MAX_PIECES:
-            self._forget()
+            self.forget()
         pieces: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         whole: dict[int, np.ndarray] = {}

@@ -132,6 +132,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, chunk_chars: in
             texts = frame["text"].tolist()
             counts = [n for a, b in slices(texts) for n in own.count(texts[a:b]).tolist()]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts})
+        own.forget()
 
     short = texts.where(~huge).mapInPandas(run, "doc_id long, n_bytes long, n_tokens long")
     # a text is its own key, so that copies of a huge document are encoded once
