@@ -30,7 +30,7 @@ def described(placed: DataFrame, players: DataFrame, team_names: list[str]) -> D
     """Placements with side, body part, injury type, group and the cleaned text; people without a name are left out."""
     people = players.select("person_id", ascii_letters(F.lower("fullname")).alias("_full"), ascii_letters(F.lower("secondary_name")).alias("_second"), "primaryposition_code", "pitchhand_code")
     rows = placed.join(people, "person_id").where("_full IS NOT NULL AND _second IS NOT NULL")
-    text = ascii_letters(F.col("il_place_description"))
+    rows, text = rows.withColumn("_text", ascii_letters(F.col("il_place_description"))), F.col("_text")
     rows = rows.withColumns({"_p": parse_injury(text), "raw_injury": raw_description(text, [F.col("_full"), F.col("_second")], [t.lower() for t in team_names])})
     rows = rows.withColumn("body_part_group", body_group(F.col("_p.body_part")))
     side = assumed_side(F.col("_p.side"), F.col("_p.body_part"), F.col("primaryposition_code"), F.col("pitchhand_code"))
