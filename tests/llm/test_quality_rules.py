@@ -43,3 +43,28 @@ def test_policies_and_ablation_read_the_ledger(spark):
         assert report[name].n_failed_alone == sum(b == bit for b in bits)
         assert report[name].n_kept_without == sum(b & ~bit == 0 for b in bits)
     assert q.ledger(docs.where(F.lit(False))).count() == 0
+
+
+def test_stems_are_learned_from_labels(spark):
+    words = [f"{c}{d}mono" for c in "bdfgklm" for d in "aeiou"]
+    rows = [(i, " ".join(words[(i * 7 + j * 3) % 35] for j in range(60)) + (" zurga Zurgle" if i % 5 == 0 else ""), 1) for i in range(100)]
+    rows += [(200, None, 1), (201, "zurgon " * 30 + "plain " * 40, 1), (202, "azurg " * 60, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(0, 100)] + [(500, 1), (None, 1), (3, None), (200, 1)], "doc_id long, toxic int")
+    stems = q.toxic_stems(docs, labels)
+    assert stems == ["zur"]
+    got = {r.doc_id: r.failed & q.BIT["toxic_stems"] > 0 for r in q.ledger(docs, stems).collect()}
+    assert got[0] and got[5] and got[201] and not got[1] and not got[202] and not got[200]
+    assert q.toxic_stems(docs, labels.where("toxic = 0")) == [] and q.toxic_stems(docs.where(F.lit(False)), labels) == []
+
+
+def test_query_equals_its_sql(spark):
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
+    import oracle
+
+    sf_dir = "/root/testdata/sf0.001"
+    mine, theirs = oracle.both(spark, oracle.connect(sf_dir), q.query, q.ORACLE_SQL, sf_dir)
+    assert mine == theirs
