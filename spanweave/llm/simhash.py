@@ -16,7 +16,9 @@ greater than any; repeated rows stay repeated; an empty table gives an empty res
 from __future__ import annotations
 
 import itertools
+import random
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -94,12 +96,23 @@ def fingerprints(docs: DataFrame, size: int = WORDS, distinct_words: bool = Fals
     return texts.mapInPandas(run, "doc_id long, node long, fp long")
 
 
+@lru_cache(maxsize=None)
+def _vectors(radius: int, n: int) -> tuple[int, ...]:
+    """Non-zero vectors of radius + 1 bits for n places, such that no mask keeps few places."""
+    every = range(1, 1 << (radius + 1))
+    if n >= len(every):
+        return tuple(i % len(every) + 1 for i in range(n))
+    rng = random.Random(n)
+    tries = [tuple(rng.sample(every, n)) for _ in range(50)]
+    return max(tries, key=lambda t: min(sum((x & v).bit_count() & 1 for x in t) for v in every))
+
+
 def masks(radius: int, places: np.ndarray) -> list[int]:
-    """The covering masks over some of the 64 places; up to a radius of 4, two levels of them leave OPEN places or fewer."""
-    if radius > 4:
-        raise ValueError("a radius over 4 needs more masks than are practical")
-    vectors = (1 << (radius + 1)) - 1
-    return [sum(1 << int(p) for i, p in enumerate(places) if (i % vectors + 1 & v).bit_count() & 1) for v in range(1, vectors + 1)]
+    """The covering masks over some of the 64 places."""
+    if radius > 6:
+        raise ValueError("a radius over 6 needs more masks than are practical")
+    own = _vectors(radius, len(places))
+    return [sum(1 << int(p) for x, p in zip(own, places, strict=True) if (x & v).bit_count() & 1) for v in range(1, 1 << (radius + 1))]
 
 
 def _spread(rows: DataFrame, radius: int) -> DataFrame:
@@ -235,7 +248,7 @@ def classes(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 SIMILARITY = 0.8
 SHINGLE = 5
-WIDE_RADIUS = 4
+WIDE_RADIUS = 6
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
