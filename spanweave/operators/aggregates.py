@@ -65,8 +65,8 @@ def ordered_json(fields: Sequence[Column], order: Column, condition: Column | No
     return F.to_json(F.transform(listed, lambda x: x["f"]))
 
 
-def share_of_range(column: str) -> Column:
-    """Where a value lies between the least and the greatest, 0 to 1; null if they are equal."""
-    everything = Window.partitionBy()
-    low, high = F.min(column).over(everything), F.max(column).over(everything)
-    return (F.col(column) - low) / F.nullif(high - low, F.lit(0))
+def share_of_range(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds where a value lies between the least and the greatest, 0 to 1; null if they are equal. The two come as one joined row, not by a window over everything."""
+    ends = df.agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
+    share = (F.col(column) - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0))
+    return df.join(F.broadcast(ends)).withColumn(name, share).drop("_low", "_high")

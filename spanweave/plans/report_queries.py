@@ -217,10 +217,8 @@ def latest_season_rows(spark, sf_dir):
     "SELECT p_partkey, round((p_retailprice - min(p_retailprice) OVER ()) / nullif(max(p_retailprice) OVER () - min(p_retailprice) OVER (), 0), 8) AS share FROM part",
 )
 def min_max_share(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    ends = part.agg(F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high"))  # one row, so that no window holds all rows
-    share = (F.col("p_retailprice") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0))
-    return part.join(F.broadcast(ends)).select("p_partkey", F.round(share, 8).alias("share"))
+    rows = share_of_range(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"), "p_retailprice", "share")
+    return rows.select("p_partkey", F.round("share", 8).alias("share"))
 
 
 @register(

@@ -218,3 +218,61 @@ def mutually_exclusive_ranges_check(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", day.alias("a"), F.when(F.col("o_orderstatus") != "O", F.date_add(day, 30)).alias("b"))
     w_end = F.coalesce("b", F.lit("9999-12-31").cast("date"))
     return overlapping(rows, ["o_custkey"], "a", w_end).select("o_orderkey", "a", "next_start")
+
+
+_AS_GAMES = """games AS (
+    SELECT o_orderkey AS gamepk, CAST(year(o_orderdate) AS INTEGER) AS season, CAST(o_orderdate AS DATE) AS gamedate, o_orderstatus AS gametype,
+           CAST(o_custkey % 7 AS BIGINT) AS home, CAST(o_custkey % 5 + 1 AS BIGINT) AS away FROM orders),
+    played AS (SELECT gamepk, season, gamedate, gametype, home AS team_id FROM games UNION SELECT gamepk, season, gamedate, gametype, away FROM games)"""
+
+
+def _games(spark, sf_dir):
+    """Orders as games between two of a few teams."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("gamepk"), F.year("o_orderdate").alias("season"), F.to_date("o_orderdate").alias("gamedate"), F.col("o_orderstatus").alias("gametype"),
+        (F.col("o_custkey") % 7).alias("home_team_id"), (F.col("o_custkey") % 5 + 1).alias("away_team_id"),
+    )
+
+
+@register(
+    "season_calendar",
+    f"""
+    WITH {_AS_GAMES}
+    SELECT team_id, season, min(gamedate) AS first_game, CASE WHEN season = 1998 THEN NULL ELSE max(gamedate) END AS last_game
+    FROM played WHERE gametype <> 'P' AND team_id IN (1, 2, 3, 4) GROUP BY 1, 2
+    """,
+)
+def season_calendar(spark, sf_dir):
+    from spanweave.plans.spans import season_calendar as calendar
+
+    teams = spark.createDataFrame([(i,) for i in (1, 2, 3, 4)], "id long")
+    return calendar(_games(spark, sf_dir), teams, F.lit("1998-06-01").cast("date"), ("P",)).select("team_id", "season", "first_game", "last_game")
+
+
+@register(
+    "team_game_numbers",
+    f"WITH {_AS_GAMES} SELECT gamepk, season, team_id, gamedate, CAST(row_number() OVER (PARTITION BY season, team_id ORDER BY gamedate, gamepk) AS INTEGER) AS team_game_number FROM played",
+)
+def team_game_numbers(spark, sf_dir):
+    from spanweave.plans.outings import team_game_numbers as numbers
+
+    return numbers(_games(spark, sf_dir))
+
+
+@register(
+    "games_in_span",
+    f"""
+    WITH {_AS_GAMES}, slices AS (SELECT o_orderkey AS span, CAST(o_custkey % 7 AS BIGINT) AS team_id, CAST(year(o_orderdate) AS INTEGER) AS season,
+        CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + 10 AS b FROM orders WHERE o_orderpriority LIKE '1%')
+    SELECT span, CAST(count(DISTINCT gamepk) AS BIGINT) AS games_missed FROM slices s JOIN played p ON s.team_id = p.team_id AND s.season = p.season AND gamedate > a AND gamedate <= b
+    WHERE gametype = 'F' GROUP BY 1
+    """,
+)
+def games_in_span(spark, sf_dir):
+    from spanweave.plans.spans import games_missed
+
+    day = F.to_date("o_orderdate")
+    slices = table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'").select(
+        F.col("o_orderkey").alias("span"), (F.col("o_custkey") % 7).alias("team_id"), F.year("o_orderdate").alias("season"), day.alias("start_date"), F.date_add(day, 10).alias("end_date")
+    )
+    return games_missed(slices, _games(spark, sf_dir)).select("span", "games_missed")
