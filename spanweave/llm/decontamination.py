@@ -28,13 +28,15 @@ from spanweave.llm.common import documents, materialize, slices
 
 QUERY = "op9_benchmark_decontamination"
 ORACLE_SQL = None  # an SVD is no SQL; tests compare with brute force over all windows
-FEATURES = 1 << 16
+FEATURES = 1 << 17
 PASSAGE = 64
 STEP = 32
 RANK = 96
 OVERSAMPLE = 16
-#: A word in more than this part of the documents weighs nothing.
-COMMON = 0.1
+#: A word in more than this part of the documents weighs nothing, unless it is among the rarest few of some benchmark item
+#: (an item that stands in a third of all documents is found by these).
+COMMON = 0.03
+RAREST = 12
 COSINE = 0.2
 WHOLE = 0.8
 MOST = 0.6
@@ -45,7 +47,8 @@ BLOCK = 4096
 
 
 class Space(NamedTuple):
-    weight: np.ndarray  # of every feature: its IDF, or 0 for common words
+    idf: np.ndarray  # of every feature
+    weight: np.ndarray  # its weight in the matrix, 0 for common words
     column: np.ndarray  # of every feature: its place in the matrix, -1 for what is common or the benchmark lacks
     latent: np.ndarray  # columns x rank
 
@@ -152,8 +155,10 @@ def _normal_product(p: _Passages, matrix: np.ndarray) -> np.ndarray:
     """(transposed rows) x (rows) x matrix for the unit TF-IDF rows of passages."""
     scaled = _project(p, matrix) / p.norm[:, None].astype(np.float32)
     steps = np.zeros((len(p.column) + 1, matrix.shape[1]), np.float32)
-    np.add.at(steps, p.low, scaled)
-    np.subtract.at(steps, p.high, scaled)
+    for bound, sign in ((p.low, 1), (p.high, -1)):  # both never decrease
+        first = np.flatnonzero(np.diff(bound, prepend=-1))
+        if len(first):
+            steps[bound[first]] += sign * np.add.reduceat(scaled, first, axis=0)
     by_word = np.cumsum(steps[:-1], axis=0) * p.weight[:, None]
     order = np.argsort(p.column, kind="stable")
     found, first = np.unique(p.column[order], return_index=True)
@@ -206,11 +211,15 @@ def _pass(rows: DataFrame, bench: list[np.ndarray], weight: np.ndarray, column:
 def fit_space(rows: DataFrame, df: np.ndarray, bench: list[np.ndarray]) -> Space:
     """IDF weights, and the leading right singular vectors by a randomised range finder and one Rayleigh-Ritz step."""
     total = int(df[-1])
-    weight = np.log((1 + total) / (1 + df[:-1])).astype(np.float32) + np.float32(1)
+    idf = np.log((1 + total) / (1 + df[:-1])).astype(np.float32)
+    weight = idf + np.float32(1)
     in_bench = np.zeros(FEATURES, bool)
     for words in bench:
         in_bench[_feature(words)] = True
     rare = df[:-1] <= max(COMMON * total, 2)
+    for words in bench:
+        own = np.unique(_feature(words))
+        rare[own[np.argsort(df[own], kind="stable")[:RAREST]]] = True
     weight[~rare] = 0
     useful = np.flatnonzero(in_bench & rare)
     column = np.full(FEATURES, -1, np.int32)
@@ -223,7 +232,7 @@ def fit_space(rows: DataFrame, df: np.ndarray, bench: list[np.ndarray]) -> Space
         again = _pass(rows, bench, weight, column, basis.astype(np.float32))
         values, turn = np.linalg.eigh(basis.T @ again)
         latent = (basis @ turn[:, np.argsort(-values)[:RANK]]).astype(np.float32)
-    return Space(weight, column, latent)
+    return Space(idf, weight, column, latent)
 
 
 def lcs(a: list[int], b: list[int]) -> int:
@@ -238,11 +247,12 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def overlap(item: np.ndarray, text: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Parts of an item and of its answer that stand in order in a text; of all its words or of those not common, whatever is less."""
-    common = 1.0
-    for a, b in ((item, text), (item[weight[_feature(item)] > 0], text[weight[_feature(text)] > 0])):
-        common = min(common, lcs(a.tolist(), b.tolist()) / len(a)) if len(a) else common
+def overlap(item: np.ndarray, text: np.ndarray, idf: np.ndarray) -> tuple[float, float]:
+    """Parts of an item and of its answer that stand in order in a text; of the item, also by the IDF of its words, whatever is less."""
+    worth = idf[_feature(item)]
+    common = lcs(item.tolist(), text.tolist()) / len(item)
+    if worth.sum() > 0:
+        common = min(common, float(worth[np.isin(item, text)].sum() / worth.sum()))
     answer = item[-ANSWER_WORDS:].tolist()
     return common, lcs(answer, text.tolist()) / len(answer)
 
@@ -269,7 +279,7 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
                     words, want = texts[text], items[item][1]
                     start = int(p.start[at + i])
                     near = words[max(0, start - len(want)) : start + PASSAGE + len(want)]
-                    found = (*overlap(want, near, space.weight), float(cosines[i, j]))
+                    found = (*overlap(want, near, space.idf), float(cosines[i, j]))
                     best[text, item] = max(found, best.get((text, item), (0.0, 0.0, 0.0)))
             out = [(ids[t], items[i][0], cosine, common, answer) for (t, i), (common, answer, cosine) in best.items() if common >= WHOLE or (common >= MOST and answer >= ANSWER)]
             frame = pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "common", "answer"])

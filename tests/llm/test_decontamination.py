@@ -70,3 +70,12 @@ def test_copies_and_paraphrases_are_found_and_clean_texts_left(spark):
     assert kept.columns == docs.columns and kept.count() == 270 + 2
     for a, b in ((docs.where(F.lit(False)), bench), (docs, bench.where(F.lit(False)))):
         assert d.contaminated(a, b).count() == 0
+
+
+def test_an_item_in_a_third_of_all_documents_is_found(spark):
+    rnd = random.Random(6)
+    make = lambda n: [f"w{rnd.randrange(20_000)}" for _ in range(n)]
+    item = make(30)
+    docs = spark.createDataFrame([(i, " ".join(make(50) + (item if i % 3 == 0 else make(30)) + make(20))) for i in range(300)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(make(30)))], "item_id long, text string")
+    assert sorted(r.doc_id for r in d.contaminated(docs, bench).collect()) == list(range(0, 300, 3))
