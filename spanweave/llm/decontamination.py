@@ -247,14 +247,26 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def overlap(item: np.ndarray, text: np.ndarray, idf: np.ndarray) -> tuple[float, float]:
-    """Parts of an item and of its answer that stand in order in a text; of the item, also by the IDF of its words, whatever is less."""
-    worth = idf[_feature(item)]
-    common = lcs(item.tolist(), text.tolist()) / len(item)
-    if worth.sum() > 0:
-        common = min(common, float(worth[np.isin(item, text)].sum() / worth.sum()))
-    answer = item[-ANSWER_WORDS:].tolist()
-    return common, lcs(answer, text.tolist()) / len(answer)
+class _Item(NamedTuple):
+    item_id: int | None
+    words: list[int]
+    worth: list[float]  # the IDF of each word
+    total: float
+
+
+def overlap(item: _Item, text: list[int]) -> tuple[float, float]:
+    """Parts of an item and of its answer that stand in order in a text; of the item, also by the IDF of its words, whatever is less.
+
+    Zeros if the latter, which is quickly told, is less than MOST.
+    """
+    common = 1.0
+    if item.total > 0:
+        there = set(text)
+        common = sum(v for w, v in zip(item.words, item.worth, strict=True) if w in there) / item.total
+        if common < MOST:
+            return 0.0, 0.0
+    answer = item.words[-ANSWER_WORDS:]
+    return min(common, lcs(item.words, text) / len(item.words)), lcs(answer, text) / len(answer)
 
 
 def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.ndarray]]) -> DataFrame:
@@ -264,7 +276,9 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
     size = np.linalg.norm(targets, axis=1, keepdims=True)
     targets = np.divide(targets, size, out=np.zeros_like(targets), where=size > 0)
     owners = own.text
-    shared = rows.sparkSession.sparkContext.broadcast((space, targets, owners, items))
+    worths = [space.idf[_feature(w)] for _, w in items]
+    listed = [_Item(item_id, w.tolist(), v.tolist(), float(v.sum())) for (item_id, w), v in zip(items, worths, strict=True)]
+    shared = rows.sparkSession.sparkContext.broadcast((space, targets, owners, listed))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         space, targets, owners, items = shared.value
@@ -276,12 +290,12 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
                 cosines = _project(part, space.latent) @ targets.T
                 for i, j in np.argwhere(cosines >= COSINE).tolist():
                     text, item = int(p.text[at + i]), int(owners[j])
-                    words, want = texts[text], items[item][1]
-                    start = int(p.start[at + i])
-                    near = words[max(0, start - len(want)) : start + PASSAGE + len(want)]
-                    found = (*overlap(want, near, space.idf), float(cosines[i, j]))
-                    best[text, item] = max(found, best.get((text, item), (0.0, 0.0, 0.0)))
-            out = [(ids[t], items[i][0], cosine, common, answer) for (t, i), (common, answer, cosine) in best.items() if common >= WHOLE or (common >= MOST and answer >= ANSWER)]
+                    start, size = int(p.start[at + i]), len(items[item].words)
+                    near = texts[text][max(0, start - size) : start + PASSAGE + size].tolist()
+                    found = (*overlap(items[item], near), float(cosines[i, j]))
+                    if found[0] >= MOST:
+                        best[text, item] = max(found, best.get((text, item), found))
+            out = [(ids[t], items[i].item_id, cosine, common, answer) for (t, i), (common, answer, cosine) in best.items() if common >= WHOLE or (common >= MOST and answer >= ANSWER)]
             frame = pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "common", "answer"])
             frame["doc_id"], frame["item_id"] = frame["doc_id"].astype("Int64"), frame["item_id"].astype("Int64")
             yield frame
