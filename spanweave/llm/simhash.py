@@ -6,8 +6,8 @@ product with v. Any ``radius`` places are orthogonal to some v, so two fingerpri
 one mask at least: no pair within the radius is lost. A bucket with more than LIMIT fingerprints is split by the same
 construction over the places that its mask leaves out, until buckets are small by construction; nothing is dropped.
 
-``fingerprints`` and ``classes`` link texts by the fingerprints' distance alone. ``near_duplicates`` also asks for a Jaccard similarity
-of five-word shingles, which it computes from the texts.
+``fingerprints`` and ``classes`` link texts by the fingerprints' distance alone. ``near_duplicates`` links them by the Jaccard similarity of
+five-word shingles alone: fingerprints miss many of such pairs, so it finds them by an exact join on prefixes of the shingles.
 
 Defined cases: a text without words (null, too) has the fingerprint zero and links like any other; null doc_ids count as
 greater than any; repeated rows stay repeated; an empty table gives an empty result; extra columns are ignored.
@@ -16,6 +16,7 @@ greater than any; repeated rows stay repeated; an empty table gives an empty res
 from __future__ import annotations
 
 import itertools
+import operator
 import random
 from collections.abc import Iterator
 from functools import lru_cache
@@ -78,18 +79,13 @@ def _of_shingles(texts: list[str], size: int) -> np.ndarray:
     return majority(np.fromiter((h for x in found for h in x), np.uint64, int(counts.sum())), counts)
 
 
-def _of_distinct_words(texts: list[str]) -> np.ndarray:
-    found = [np.unique(h) for h in W.words(texts, lower=True, part=W.PUNCTUATION).of_texts()]
-    return majority(np.concatenate([np.empty(0, np.uint64), *found]), np.fromiter(map(len, found), np.int64, len(found)))
-
-
-def fingerprints(docs: DataFrame, size: int = WORDS, distinct_words: bool = False) -> DataFrame:
-    """doc_id, node (a hash of the text) and fp, of shingles of so many words or else of the set of single words."""
+def fingerprints(docs: DataFrame, size: int = WORDS) -> DataFrame:
+    """doc_id, node (a hash of the text) and fp, of shingles of so many words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = frame["text"].tolist()
-            parts = [_of_distinct_words(texts[a:b]) if distinct_words else _of_shingles(texts[a:b], size) for a, b in slices(texts)]
+            parts = [_of_shingles(texts[a:b], size) for a, b in slices(texts)]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "node": frame["node"], "fp": np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64)})
 
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
@@ -248,7 +244,12 @@ def classes(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 SIMILARITY = 0.8
 SHINGLE = 5
-WIDE_RADIUS = 6
+#: Every so many texts are sampled for common shingles: those that so many of the sample have, and the most common so many of them.
+COMMON_SAMPLE = 16
+COMMON_SEEN = 3
+MAX_COMMON = 1_000_000
+#: Comparisons with one text of each key before all pairs of different classes are compared.
+ROUNDS = 2
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -258,41 +259,116 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+def _shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct shingles of each text; zero for one without words."""
+    sets = (np.unique(W.grams(h, min(SHINGLE, max(1, len(h))))) for h in W.words(texts, lower=True).of_texts())
+    return [x if len(x) else np.zeros(1, np.uint64) for x in sets]
+
+
+def _common(texts: DataFrame) -> np.ndarray:
+    """Shingles that stand in many texts, told from every COMMON_SAMPLE-th text. They only order a text's shingles: any order is exact."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            own = frame["text"].tolist()
+            for a, b in slices(own):
+                keys, n = np.unique(np.concatenate(_shingle_sets(own[a:b])), return_counts=True)
+                yield pd.DataFrame({"key": keys.view(np.int64), "n": n})
+
+    counts = texts.where(F.pmod("node", F.lit(COMMON_SAMPLE)) == 0).mapInPandas(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= COMMON_SEEN).orderBy(F.desc("n"), "key").limit(MAX_COMMON).select("key").toPandas()
+    return np.sort(found["key"].to_numpy(np.int64).view(np.uint64))
+
+
+def _prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, size, pos): of each text's shingles, common ones last, the first ones; two texts so similar share one of them at least."""
+    shared = texts.sparkSession.sparkContext.broadcast(_common(texts))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common = np.append(shared.value, np.uint64(2**64 - 1))
+        for frame in frames:
+            own, nodes = frame["text"].tolist(), frame["node"].to_numpy()
+            for a, b in slices(own):
+                sets = _shingle_sets(own[a:b])
+                sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+                every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+                last = common[np.searchsorted(common, every)] == every
+                every = every[np.argsort(2 * owner + last, kind="stable")]
+                pos = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                keep = pos <= (sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64))[owner]
+                yield pd.DataFrame({"key": every[keep].view(np.int64), "node": nodes[a:b][owner[keep]], "size": sizes[owner[keep]], "pos": pos[keep]})
+
+    return texts.mapInPandas(run, "key long, node long, size int, pos int")
+
+
+def _not_alone(rows: DataFrame) -> DataFrame:
+    """Rows whose key others have, too."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, before = None, None  # the last row so far, and the key of the one before it
+        for frame in frames:
+            now = frame if held is None else pd.concat([held, frame])
+            if len(now):
+                keys = now["key"].to_numpy()
+                same = keys[1:] == keys[:-1]
+                keep = np.append(same, False) | np.append(before is not None and before == keys[0], same)
+                yield now.iloc[:-1][keep[:-1]]
+                held, before = now.iloc[-1:], keys[-2] if len(keys) > 1 else before
+        if held is not None and before is not None and before == held["key"].iloc[0]:
+            yield held
+
+    return rows.repartition("key").sortWithinPartitions("key").mapInPandas(run, rows.schema)
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Of (u, v) of text hashes, those whose texts are so similar."""
-    need = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    texts = materialize(keyed.join(need, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "simhash-texts")
     rows = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            own, other = (W.words(frame[c].tolist(), lower=True).of_texts() for c in ("a", "b"))
-            good = np.fromiter((jaccard(x, y) >= similarity for x, y in zip(own, other, strict=True)), bool, len(own))
-            yield frame.loc[good, ["u", "v"]]
+            for at, to in slices(list(map(operator.add, frame["a"], frame["b"]))):
+                part = frame.iloc[at:to]
+                own, other = (W.words(part[c].tolist(), lower=True).of_texts() for c in ("a", "b"))
+                good = np.fromiter((jaccard(x, y) >= similarity for x, y in zip(own, other, strict=True)), bool, len(own))
+                yield part.loc[good, ["u", "v"]]
 
     return rows.select("u", "v", "a", "b").mapInPandas(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): classes of distinct texts, by their hashes, for those not alone.
 
-    Candidates are texts whose fingerprints of distinct words lie within the radius; a pair counts if its five-word shingles are
-    similar enough.
+    Two texts are linked if the Jaccard similarity of their five-word shingles is high enough. The join by prefixes and places finds all such
+    pairs. Texts with a key in common are first compared with one of them, ROUNDS times, then with all that aren't yet in their class.
     """
-    rows = materialize(fingerprints(docs, distinct_words=True).select("node", "fp").distinct(), "simhash-rows")
-    first = materialize(rows.groupBy("fp").agg(F.min("node").alias("first")), "simhash-first")
-    same = rows.join(first, "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-    near = links(first.select("fp"), radius).distinct()
-    near = near.join(first.select(F.col("fp").alias("u"), F.col("first").alias("a")), "u").join(first.select(F.col("fp").alias("v"), F.col("first").alias("b")), "v")
-    pairs = materialize(same.unionByName(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "simhash-pairs")
-    return components(materialize(_confirm(pairs, docs, similarity), "simhash-confirmed"))
-
-
-def drop_near_duplicates(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
+    rows = materialize(_not_alone(_prefixes(keyed.dropDuplicates(["node"]), similarity)), "near-keys")
+    texts = materialize(keyed.join(rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "near-texts")
+    found = roots = None
+    for k in range(ROUNDS + 1):
+        named = rows.withColumn("root", F.col("node")) if roots is None else rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("turn"), "node", "size", "pos", "root")).alias("b"))
+        mixed = mixed.where("low <> high").select("key", "b")
+        own = named.join(mixed, "key").select("key", F.struct("node", "size", "pos", "root").alias("a"), "b") if k < ROUNDS else _all_of(named, mixed.select("key"))
+        overlap = F.least(F.expr("a.size - a.pos"), F.expr("b.size - b.pos")) >= similarity / (1 + similarity) * F.expr("a.size + b.size") - 1e-9
+        pairs = own.where((F.col("a.root") != F.col("b.root")) & overlap).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
+        good = materialize(_confirm(materialize(pairs, "near-pairs"), texts, similarity), "near-confirmed")
+        found = good if found is None else found.unionByName(good)
+        roots = components(found)
+    return roots
+
+
+def _all_of(named: DataFrame, keys: DataFrame) -> DataFrame:
+    """(a, b): all pairs of the rows of one key, for some keys, that are of two classes."""
+    rows = materialize(named.join(keys, "key"), "near-mixed").select("key", F.struct("node", "size", "pos", "root").alias("a"))
+    other = rows.select(F.col("key").alias("other"), F.col("a").alias("b"))
+    return rows.join(other, (F.col("key") == F.col("other")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))).select("a", "b")
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class: that with the smallest doc_id (null last), one row of it."""
     rows = docs.withColumn("_node", F.xxhash64(F.coalesce("text", F.lit(""))))
-    roots = near_duplicates(docs, radius, similarity).withColumnRenamed("node", "_node")
+    roots = near_duplicates(docs, similarity).withColumnRenamed("node", "_node")
     ids = materialize(rows.groupBy("doc_id", "_node").count(), "simhash-ids")
     named = ids.join(roots, "_node", "left").withColumn("_root", F.coalesce("root", "_node"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_node")

@@ -98,3 +98,33 @@ def test_one_document_of_each_near_copy_stays(spark):
     assert len([i for i in ids if 30 <= i < 40]) == 0
     assert [i for i in ids if i >= 40] == [42, 44]
     assert s.drop_near_duplicates(docs.where(F.lit(False))).count() == 0
+
+
+def test_near_duplicates_equal_brute_force_over_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(s, "COMMON_SAMPLE", 1)
+    rnd = random.Random(12)
+    make = lambda n: [f"w{rnd.randrange(5000)}" for _ in range(n)]
+    line, texts = make(14), []
+    for _ in range(25):
+        base = make(rnd.choice([6, 12, 25, 90, 200])) + (line if rnd.random() < 0.5 else [])
+        texts.append(" ".join(base))
+        for _ in range(6):  # from one changed word to a tenth of them, cut or longer
+            t = list(base)
+            for j in rnd.sample(range(len(t)), rnd.randint(1, max(1, len(t) // 25))):
+                t[j] = "other"
+            texts.append(" ".join(t[: rnd.choice([len(t), len(t) - 1, int(len(t) * 0.9)])] + make(rnd.choice([0, 0, 1, 5]))))
+    texts = sorted({*texts, "", " ", "a b", "A b", "few", *(" ".join([*make(100), *line]) for _ in range(30))})
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+    root = list(range(len(texts)))
+    linked = 0
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+            linked += 1
+            root = [root[a] if x == root[b] else x for x in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    node = {r.node: r.doc_id for r in docs.select("doc_id", F.xxhash64("text").alias("node")).collect()}
+    got = list(range(len(texts)))
+    for r in s.near_duplicates(docs).collect():
+        got[node[r.node]] = node[r.root]
+    same = lambda x: {frozenset(i for i in range(len(x)) if x[i] == v) for v in set(x)}
+    assert same(got) == same(root) and linked > 30
