@@ -2,9 +2,9 @@
 
 Passages that repeat begin and end inside the lines of a file, so a text is taken as rolling lines of LINE_WORDS words, one from each
 word on. In every WINDOW of consecutive lines the least hash is a fingerprint; so any run of LINE_WORDS + WINDOW - 1 words that
-stands in two texts gives both the same fingerprint. Each fingerprint's first place in the corpus (by doc_id, nulls first)
-is joined to its others; every such pair is extended word by word to both sides; and a run of MIN_WORDS words or more
-is deleted from the later document. The earliest document keeps its whole text.
+stands in two texts gives both the same fingerprint. Of texts that share a fingerprint, every passage of MIN_WORDS words whose least line it is
+is hashed; a passage's first document in the corpus (by doc_id, nulls first) keeps it, and it is deleted from all others. So a
+passage meets all its places, whatever else the line in it stands in. The earliest document keeps its whole text.
 
 Documents are rows with the same doc_id and text. Defined cases: a null text has no runs and stays null; rows repeated as a whole are one document
 and get the same result; a short text is never changed; an empty table gives an empty result; other columns are kept.
@@ -12,7 +12,6 @@ and get the same result; a short text is never changed; an empty table gives an
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +27,13 @@ ORACLE_SQL = None  # winnowing and word-wise extension are no SQL; tests compare
 LINE_WORDS = 16
 WINDOW = 34
 MIN_WORDS = 50
+#: Documents whose passages by one fingerprint are dealt out together.
+PLENTY = 1000
 
 
-def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Places of the least hash of each window (the last of equal ones). In a stretch of equal hashes one place for a window is kept."""
+def _least(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Place of the least hash (the last of equal ones) of each window."""
     n = len(hashes)
-    if not n:
-        return np.empty(0, np.int64)
-    window = min(window, n)
     bits = max(1, int(n - 1).bit_length())
     late = np.uint64((1 << bits) - 1)
     order = (hashes & ~late) | (late - np.arange(n, dtype=np.uint64))
@@ -45,7 +43,16 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
         width *= 2
     if width < window:
         least = np.minimum(least[: n - window + 1], least[window - width :])
-    places = np.unique((late - (least & late)).astype(np.int64))
+    return (late - (least & late)).astype(np.int64)
+
+
+def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least hash of each window (the last of equal ones). In a stretch of equal hashes one place for a window is kept."""
+    n = len(hashes)
+    if not n:
+        return np.empty(0, np.int64)
+    window = min(window, n)
+    places = np.unique(_least(hashes, window))
     own = hashes[places]
     chained = np.append(False, (own[1:] == own[:-1]) & (np.diff(places) < window))
     head = places[np.maximum.accumulate(np.where(chained, 0, np.arange(len(places))))]
@@ -58,7 +65,7 @@ def _key(docs: DataFrame) -> DataFrame:
 
 
 def _fingerprints(docs: DataFrame) -> DataFrame:
-    """(fp, doc_id, key, pos) of the window minima of each text."""
+    """(fp, key): the distinct window minima of each text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -66,56 +73,78 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
             for a, b in slices(texts, 1_000_000):
                 found = W.words(texts[a:b])
                 lines = W.grams(found.hashes, LINE_WORDS)
-                fps, owner, places, at = [], [], [], 0
+                fps, owner, at = [], [], 0
                 for i, n in enumerate(found.counts.tolist(), a):
                     if n >= LINE_WORDS + WINDOW - 1:
                         own = lines[at : at + n - LINE_WORDS + 1]
-                        where = winnow(own, WINDOW)
-                        fps.append(own[where])
-                        places.append(where)
-                        owner.append(np.full(len(where), i))
+                        fps.append(np.unique(own[winnow(own, WINDOW)]))
+                        owner.append(np.full(len(fps[-1]), i))
                     at += n
                 if fps:
-                    owner = np.concatenate(owner)
-                    yield pd.DataFrame({"fp": np.concatenate(fps).view(np.int64), "doc_id": frame["doc_id"].iloc[owner].astype("Int64").to_numpy(dtype=object), "key": frame["_key"].to_numpy()[owner], "pos": np.concatenate(places)})
+                    yield pd.DataFrame({"fp": np.concatenate(fps).view(np.int64), "key": frame["_key"].to_numpy()[np.concatenate(owner)]})
 
-    return _key(docs).where("text IS NOT NULL").select("doc_id", "_key", "text").mapInPandas(run, "fp long, doc_id long, key long, pos int")
+    return _key(docs).where("text IS NOT NULL").select("_key", "text").mapInPandas(run, "fp long, key long")
 
 
-def _seeds(docs: DataFrame) -> DataFrame:
-    """(key, source, seeds): for each document and each first document of some of its fingerprints, the places in both."""
+def _shared(docs: DataFrame) -> DataFrame:
+    """(key, fps): each document's fingerprints that others have, too, and over how many parts these are dealt."""
     rows = materialize(_fingerprints(docs), "winnow")
-    first = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "key", "pos")).alias("first"), F.min("key").alias("low"), F.max("key").alias("high"))
-    first = first.where("low <> high").select("fp", F.col("first.key").alias("source"), F.col("first.pos").alias("source_pos"))
-    pairs = rows.join(first, "fp").where("key <> source")
-    return pairs.groupBy("key", "source").agg(F.collect_set(F.struct("pos", "source_pos")).alias("seeds"))
-
-
-def _same(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the common beginning."""
-    n, at, step = min(len(a), len(b)), 0, 64
-    while at < n:
-        other = np.flatnonzero(a[at : min(n, at + step)] != b[at : min(n, at + step)])
-        if len(other):
-            return at + int(other[0])
-        at += step
-        step *= 4
-    return n
-
-
-def common_runs(a: np.ndarray, b: np.ndarray, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
-    """Runs of a, from a word to before another, of ``least`` words or more that stand in b: the seeds extended both ways."""
-    done: dict[int, int] = {}
-    runs = []
-    for x, y in sorted(seeds):
-        if x < done.get(x - y, 0):
-            continue
-        end = x + _same(a[x:], b[y:])
-        start = x - _same(a[:x][::-1], b[:y][::-1])
-        done[x - y] = end
-        if end - start >= least:
-            runs.append((start, end))
-    return runs
+    shared = rows.groupBy("fp").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).where("low <> high")
+    shared = shared.select("fp", F.ceil(F.col("n") / PLENTY).cast("int").alias("parts"))
+    return rows.join(shared, "fp").groupBy("key").agg(F.collect_list(F.struct("fp", "parts")).alias("fps"))
+
+
+def _passages(rows: DataFrame, min_words: int) -> DataFrame:
+    """(fp, part, doc_id, key, starts, hashes): the passages of each document by their least line. A fingerprint of many documents has parts."""
+
+    def of_text(own: np.ndarray, fps: np.ndarray, parts: np.ndarray) -> Iterator[tuple]:
+        if len(own) < min_words:
+            return
+        lines, passages = W.grams(own, LINE_WORDS), W.grams(own, min_words)
+        fp = lines[_least(lines, min_words - LINE_WORDS + 1)]
+        order = np.argsort(fps)
+        fps, parts = fps[order], parts[order]
+        at = np.minimum(np.searchsorted(fps, fp), len(fps) - 1)
+        where = np.flatnonzero(fps[at] == fp)
+        part = (passages[where] % parts[at[where]].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((part, at[where]))
+        where, part, group = where[order], part[order], at[where][order]
+        ends = np.flatnonzero(np.append((np.diff(group) != 0) | (np.diff(part) != 0), True)) + 1 if len(where) else []
+        a = 0
+        for b in ends:
+            yield int(fps[group[a]].view(np.int64)), int(part[a]), where[a:b].astype("<i4").tobytes(), passages[where[a:b]].astype("<u8").tobytes()
+            a = b
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at, to in slices(frame["text"].tolist(), 1_000_000):
+                part, out = frame.iloc[at:to], []
+                for doc_id, key, own, fps in zip(part["doc_id"].tolist(), part["key"].tolist(), W.words(part["text"].tolist()).of_texts(), part["fps"], strict=True):
+                    known = np.array([f["fp"] for f in fps], np.int64).view(np.uint64), np.array([f["parts"] for f in fps])
+                    out += [(fp, p, None if pd.isna(doc_id) else int(doc_id), key, s, h) for fp, p, s, h in of_text(own, *known)]
+                found = pd.DataFrame(out, columns=["fp", "part", "doc_id", "key", "starts", "hashes"])
+                found["doc_id"] = found["doc_id"].astype("Int64")
+                yield found
+
+    return rows.select("doc_id", "key", "text", "fps").mapInPandas(run, "fp long, part int, doc_id long, key long, starts binary, hashes binary")
+
+
+def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
+    """(key, start, end): runs of passages that an earlier document has."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, first = None, {}
+        for frame in frames:
+            out = []
+            for fp, part, key, starts, hashes in zip(*(frame[c].tolist() for c in ("fp", "part", "key", "starts", "hashes")), strict=True):
+                if group != (fp, part):
+                    group, first = (fp, part), {}
+                where = [s for s, h in zip(np.frombuffer(starts, "<i4").tolist(), np.frombuffer(hashes, "<u8").tolist(), strict=True) if first.setdefault(h, key) != key]
+                out += [(key, *r) for r in union([(s, s + min_words) for s in where])]
+            yield pd.DataFrame(out, columns=["key", "start", "end"])
+
+    ordered = passages.repartition("fp", "part").sortWithinPartitions("fp", "part", F.col("doc_id").asc_nulls_first(), "key")
+    return ordered.mapInPandas(run, "key long, start int, end int")
 
 
 def union(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -131,22 +160,11 @@ def union(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, runs) of documents with runs to delete; key is xxhash64(doc_id, text), a run is (start, end) in words."""
-    seeds = materialize(_seeds(docs), "winnow-seeds")
-    texts = with_rows_of(_key(docs).select(F.col("_key").alias("key"), "text"), seeds.select(F.explode(F.array("key", "source")).alias("key")), "key")
-    texts = materialize(texts.dropDuplicates(["key"]), "winnow-texts")
-    rows = seeds.join(texts.select(F.col("key").alias("source"), F.col("text").alias("b")), "source").join(texts.select("key", F.col("text").alias("a")), "key")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at, to in slices(list(map(operator.add, frame["a"], frame["b"])), 500_000):
-                part = frame.iloc[at:to]
-                own, other = (W.words(part[c].tolist()).of_texts() for c in ("a", "b"))
-                out = []
-                for key, x, y, places in zip(part["key"].tolist(), own, other, part["seeds"], strict=True):
-                    out += [(key, *r) for r in common_runs(x, y, [(int(p["pos"]), int(p["source_pos"])) for p in places], min_words)]
-                yield pd.DataFrame(out, columns=["key", "start", "end"])
-
-    runs = rows.select("key", "a", "b", "seeds").mapInPandas(run, "key long, start int, end int")
+    if min_words < LINE_WORDS + WINDOW - 1:
+        raise ValueError("runs so short needn't hold a fingerprint")
+    shared = materialize(_shared(docs), "winnow-shared")
+    texts = with_rows_of(_key(docs).select("doc_id", F.col("_key").alias("key"), "text"), shared.select("key"), "key").dropDuplicates(["key"])
+    runs = _repeats(_passages(texts.join(shared, "key"), min_words), min_words)
     together = F.udf(lambda r: union([(x.start, x.end) for x in r]), "array<struct<start:int,end:int>>")
     return runs.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("runs")).select("key", together("runs").alias("runs"))
 

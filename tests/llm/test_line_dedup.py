@@ -74,3 +74,25 @@ def test_runs_equal_brute_force(spark):
                 if tuple(t[a : a + 50]) in seen:
                     want |= set(range(a, a + 50))
         assert got.get(i, set()) == want, i
+
+
+def test_a_short_line_of_an_earlier_document_hides_no_longer_passage(spark, monkeypatch):
+    monkeypatch.setattr(d, "PLENTY", 4)
+    rnd = random.Random(3)
+    lines = [make(rnd, 30) for _ in range(6)]
+    texts = [make(rnd, 60) + line + make(rnd, 60) + line + make(rnd, 40) for line in lines]  # each alone, and twice
+    for line in lines:
+        shared = make(rnd, 12) + line + make(rnd, 12)  # 54 words, hardly more than the line
+        other = make(rnd, 30) + line + make(rnd, 30)
+        texts += [make(rnd, 40) + shared + make(rnd, 9), make(rnd, 7) + other, make(rnd, 25) + shared + make(rnd, 33), other + shared, make(rnd, 3) + other]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    key = {r.key: r.doc_id for r in docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).collect()}
+    got = {key[r.key]: {i for x in r.runs for i in range(x.start, x.end)} for r in d.repeated_runs(docs).collect()}
+    seen, found = set(), 0
+    for i, t in enumerate(texts):
+        own = [tuple(t[a : a + 50]) for a in range(len(t) - 49)]
+        want = {j for a, w in enumerate(own) if w in seen for j in range(a, a + 50)}
+        assert got.get(i, set()) == want, i
+        found += bool(want)
+        seen |= set(own)
+    assert found == 18
