@@ -3,7 +3,8 @@
 Passages are windows of words. Over all passages of the corpus, and those of the benchmark with the weight of all of these together,
 a randomised SVD of the TF-IDF matrix is computed by passes that sum small dense products on the executors. Its columns are
 words of the benchmark (hashed to FEATURES places) that aren't too common; the norm of a passage counts all its words.
-Every passage is compared with every benchmark passage by the cosine in the latent space, in blocks of the benchmark. A document is found if
+Every block of the benchmark has a space of its own, so that its passages keep their length there however large the benchmark is. Every
+passage is compared with every benchmark passage by the cosine in the latent space; the shorter the latter is there, the less will do. A document is found if
 an item's longest common subsequence with the surroundings of such a passage is nearly the whole item, or most of it and its answer
 (its last words) stands there too: the latter finds paraphrases.
 
@@ -15,7 +16,6 @@ empty table on either side gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -42,8 +42,10 @@ WHOLE = 0.8
 MOST = 0.6
 ANSWER = 0.8
 ANSWER_WORDS = 6
-#: Benchmark items compared in one pass.
-BLOCK = 4096
+#: Passages of the benchmark that share a space: more of them would be too short in it to be found.
+BLOCK_PASSAGES = 3 * RANK
+#: A passage is also compared if its cosine reaches so much of the length that the item's own passage has in the space.
+CAPTURED = 0.25
 
 
 class Space(NamedTuple):
@@ -275,20 +277,21 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
     targets = _project(own, space.latent)
     size = np.linalg.norm(targets, axis=1, keepdims=True)
     targets = np.divide(targets, size, out=np.zeros_like(targets), where=size > 0)
+    bound = np.minimum(COSINE, CAPTURED * size[:, 0])
     owners = own.text
     worths = [space.idf[_feature(w)] for _, w in items]
     listed = [_Item(item_id, w.tolist(), v.tolist(), float(v.sum())) for (item_id, w), v in zip(items, worths, strict=True)]
-    shared = rows.sparkSession.sparkContext.broadcast((space, targets, owners, listed))
+    shared = rows.sparkSession.sparkContext.broadcast((space, targets, bound, owners, listed))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        space, targets, owners, items = shared.value
+        space, targets, bound, owners, items = shared.value
         for ids, texts in _batches(frames):
             p = _passages(texts, space.weight, space.column)
             best: dict[tuple[int, int], tuple] = {}
             for at in range(0, len(p.low), 8192):
                 part = p._replace(low=p.low[at : at + 8192], high=p.high[at : at + 8192], norm=p.norm[at : at + 8192])
                 cosines = _project(part, space.latent) @ targets.T
-                for i, j in np.argwhere(cosines >= COSINE).tolist():
+                for i, j in np.argwhere(cosines >= bound).tolist():
                     text, item = int(p.text[at + i]), int(owners[j])
                     start, size = int(p.start[at + i]), len(items[item].words)
                     near = texts[text][max(0, start - size) : start + PASSAGE + size].tolist()
@@ -306,19 +309,24 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each pair of a document and a benchmark item found in it: doc_id, item_id, cosine, common, answer."""
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
-    every = items.toLocalIterator()
-    blocks = []
-    while block := list(islice(every, BLOCK)):  # the stated query set, in blocks
-        found = [(r.item_id, w) for r, w in zip(block, _tokens([r.text for r in block]), strict=True) if len(w)]
-        blocks += [found] if found else []
+    blocks, size = [], BLOCK_PASSAGES
+    for r in items.toLocalIterator():  # the stated query set, in blocks
+        words = _tokens([r.text])[0]
+        if len(words):
+            size += len(_spans(len(words))[0])
+            if size > BLOCK_PASSAGES:
+                blocks.append([])
+                size = len(_spans(len(words))[0])
+            blocks[-1].append((r.item_id, words))
     table = materialize(_words(docs), "decontamination-words")
     rows = table.where("words IS NOT NULL")
     df = _sum_vectors(table.where("df IS NOT NULL"), "df", "<i8")
-    space = fit_space(rows, df if len(df) else np.zeros(FEATURES + 1, np.int64), [w for block in blocks for _, w in block])
     out = None
-    for block in blocks if space.latent.shape[1] else []:
-        own = _matches(rows, space, block)
-        out = own if out is None else out.unionByName(own)
+    for block in blocks:
+        space = fit_space(rows, df if len(df) else np.zeros(FEATURES + 1, np.int64), [w for _, w in block])
+        if space.latent.shape[1]:
+            own = materialize(_matches(rows, space, block), "decontamination-matches")
+            out = own if out is None else out.unionByName(own)
     if out is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, cosine double, common double, answer double")
     return out.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("cosine", "common", "answer")))

@@ -79,3 +79,12 @@ def test_an_item_in_a_third_of_all_documents_is_found(spark):
     docs = spark.createDataFrame([(i, " ".join(make(50) + (item if i % 3 == 0 else make(30)) + make(20))) for i in range(300)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(make(30)))], "item_id long, text string")
     assert sorted(r.doc_id for r in d.contaminated(docs, bench).collect()) == list(range(0, 300, 3))
+
+
+def test_copies_are_found_whatever_the_size_of_the_benchmark(spark):
+    rnd = random.Random(7)
+    make = lambda n: [f"w{rnd.randrange(20_000)}" for _ in range(n)]
+    items = [make(rnd.randint(15, 59)) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, " ".join(make(rnd.randint(0, 90)) + items[i * 10] + make(60))) for i in range(300)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, bench).collect()} == {(i, i * 10) for i in range(300)}
