@@ -42,6 +42,8 @@ WHOLE = 0.8
 MOST = 0.6
 ANSWER = 0.8
 ANSWER_WORDS = 6
+#: Of an item's IDF, what its words that are there must have: common words alone stand in order in many clean texts.
+WORTH = 0.45
 #: Passages of the benchmark that share a space: more of them would be too short in it to be found.
 BLOCK_PASSAGES = 3 * RANK
 #: A passage is also compared if its cosine reaches so much of the length that the item's own passage has in the space.
@@ -253,22 +255,20 @@ class _Item(NamedTuple):
     item_id: int | None
     words: list[int]
     worth: list[float]  # the IDF of each word
-    total: float
 
 
 def overlap(item: _Item, text: list[int]) -> tuple[float, float]:
-    """Parts of an item and of its answer that stand in order in a text; of the item, also by the IDF of its words, whatever is less.
-
-    Zeros if the latter, which is quickly told, is less than MOST.
-    """
-    common = 1.0
-    if item.total > 0:
-        there = set(text)
-        common = sum(v for w, v in zip(item.words, item.worth, strict=True) if w in there) / item.total
-        if common < MOST:
-            return 0.0, 0.0
+    """Parts of an item and of its answer that stand in order in a text; zeros if fewer than MOST of its words are there at all, or WORTH of their IDF."""
+    there = set(text)
+    here = [v for w, v in zip(item.words, item.worth, strict=True) if w in there]
+    if len(here) < MOST * len(item.words) or sum(here) < WORTH * sum(item.worth):
+        return 0.0, 0.0
     answer = item.words[-ANSWER_WORDS:]
-    return min(common, lcs(item.words, text) / len(item.words)), lcs(answer, text) / len(answer)
+    return lcs(item.words, text) / len(item.words), lcs(answer, text) / len(answer)
+
+
+def is_found(common: float, answer: float) -> bool:
+    return common >= WHOLE or (common >= MOST and answer >= ANSWER)
 
 
 def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.ndarray]]) -> DataFrame:
@@ -279,8 +279,7 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
     targets = np.divide(targets, size, out=np.zeros_like(targets), where=size > 0)
     bound = np.minimum(COSINE, CAPTURED * size[:, 0])
     owners = own.text
-    worths = [space.idf[_feature(w)] for _, w in items]
-    listed = [_Item(item_id, w.tolist(), v.tolist(), float(v.sum())) for (item_id, w), v in zip(items, worths, strict=True)]
+    listed = [_Item(item_id, w.tolist(), space.idf[_feature(w)].tolist()) for item_id, w in items]
     shared = rows.sparkSession.sparkContext.broadcast((space, targets, bound, owners, listed))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,9 +295,9 @@ def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.nda
                     start, size = int(p.start[at + i]), len(items[item].words)
                     near = texts[text][max(0, start - size) : start + PASSAGE + size].tolist()
                     found = (*overlap(items[item], near), float(cosines[i, j]))
-                    if found[0] >= MOST:
+                    if is_found(*found[:2]):
                         best[text, item] = max(found, best.get((text, item), found))
-            out = [(ids[t], items[i].item_id, cosine, common, answer) for (t, i), (common, answer, cosine) in best.items() if common >= WHOLE or (common >= MOST and answer >= ANSWER)]
+            out = [(ids[t], items[i].item_id, cosine, common, answer) for (t, i), (common, answer, cosine) in best.items()]
             frame = pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "common", "answer"])
             frame["doc_id"], frame["item_id"] = frame["doc_id"].astype("Int64"), frame["item_id"].astype("Int64")
             yield frame

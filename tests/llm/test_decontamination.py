@@ -88,3 +88,24 @@ def test_copies_are_found_whatever_the_size_of_the_benchmark(spark):
     docs = spark.createDataFrame([(i, " ".join(make(rnd.randint(0, 90)) + items[i * 10] + make(60))) for i in range(300)], "doc_id long, text string").repartition(4)
     bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
     assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, bench).collect()} == {(i, i * 10) for i in range(300)}
+
+
+def test_a_paraphrase_of_the_rare_words_is_found(spark):
+    rnd = random.Random(8)
+    common, rare = [f"c{i}" for i in range(25)], iter(f"r{i}" for i in range(10_000))
+    items, texts = [], []
+    for i in range(10):
+        item = [w for _ in range(12) for w in (rnd.choice(common), next(rare))] + [next(rare) for _ in range(3)] + rnd.choices(common, k=3)
+        swapped = list(item)
+        for j in range(1, 16, 2):
+            swapped[j] = rnd.choice(common)
+        items.append(item)
+        texts += [rnd.choices(common, k=30) + swapped + rnd.choices(common, k=30), *([*rnd.choices(common, k=60), next(rare), next(rare)] for _ in range(20))]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, bench).collect()} == {(i * 21, i) for i in range(10)}
+
+
+def test_the_words_in_order_decide():
+    assert d.overlap(d._Item(1, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], [1.0] * 9 + [9.0]), [0, 1, 2, 3, 0, 5, 6, 7, 8, 9, 0, 4]) == (0.8, 5 / 6)
+    assert d.is_found(0.6, 5 / 6) and d.is_found(0.8, 0.0) and not d.is_found(0.79, 0.7) and not d.is_found(0.59, 1.0)
