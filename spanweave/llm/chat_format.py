@@ -3,9 +3,8 @@
 ``spans`` renders every prefix of a conversation's turns and compares consecutive outputs: what a turn adds is its span. If an
 output doesn't begin with the one before it, the template rewrites history, and the turn is marked so. Where an assistant's text lies in
 its span is found the same way: the prefix rendered with the prompt for a reply ends where the text begins, and the rendering of an empty reply
-tells what follows the text. ``format_conversations`` streams turns in order, a bounded number of them in memory: beyond
-SEGMENT turns it renders with only the last CONTEXT turns of what came before, which is right for templates that look no
-further back.
+tells what follows the text. ``format_conversations`` does so for whole conversations, however long: one conversation's turns are in memory
+together, and its time grows with the square of its turns.
 
 The template used here marks turns with <|im_start|> and <|im_end|> and escapes them inside texts: a backslash is doubled, and `<|` gets one inside.
 
@@ -27,8 +26,6 @@ from pyspark.sql import functions as F
 QUERY = "op8_chat_formatting"
 ORACLE_SQL = None  # rendering a template is no SQL; tests compare with a direct formatter and a parser
 LOSS_ROLE = "assistant"
-SEGMENT = 32
-CONTEXT = 2
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn], bool], str]
@@ -108,23 +105,20 @@ def spans(turns: list[Turn], template: Template = marked, known: int = 0) -> lis
 _TURNS = "conv_id long, turn_no long, role string, start long, end long, loss_start long, loss_end long, rewrites boolean, piece string"
 
 
-def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[object, bool, list[Turn]]]:
-    """(conv_id, whether it goes on, turns) in runs of SEGMENT turns at most."""
+def _stream(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[object, list[Turn]]]:
+    """conv_id and turns of each conversation."""
     key, turns = None, []
     for frame in frames:
         ids = frame["conv_id"].tolist()
         for conv_id, role, text in zip(ids, frame["role"].tolist(), frame["text"].tolist(), strict=True):
             conv_id = None if pd.isna(conv_id) else int(conv_id)
             if turns and conv_id != key:
-                yield key, False, turns
-                turns = []
-            elif len(turns) == SEGMENT:
-                yield key, True, turns
+                yield key, turns
                 turns = []
             key = conv_id
             turns.append((role, text))
     if turns:
-        yield key, False, turns
+        yield key, turns
 
 
 def format_conversations(rows: DataFrame, template: Template = marked) -> DataFrame:
@@ -134,18 +128,10 @@ def format_conversations(rows: DataFrame, template: Template = marked) -> DataFr
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        context: list[Turn] = []
-        at = number = 0
         out = []
-        for conv_id, goes_on, turns in _stream(frames):
-            for (role, _), s in zip(turns, spans(context + turns, template, len(context)), strict=True):
-                shift = at if s.loss_start >= 0 else 0
-                out.append((conv_id, number, role, at + s.start, at + s.end, shift + s.loss_start, shift + s.loss_end, s.rewrites, s.piece))
-                number += 1
-            at = out[-1][4]
-            context = (context + turns)[-CONTEXT:]
-            if not goes_on:
-                context, at, number = [], 0, 0
+        for conv_id, turns in _stream(frames):
+            own = zip(turns, spans(turns, template), strict=True)
+            out += [(conv_id, number, role, s.start, s.end, s.loss_start, s.loss_end, s.rewrites, s.piece) for number, ((role, _), s) in enumerate(own)]
             if sum(len(r[-1]) for r in out) > 1_000_000 or len(out) > 5000:
                 yield _frame(out)
                 out = []

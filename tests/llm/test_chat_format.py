@@ -60,3 +60,21 @@ def test_digests_equal_direct_hashing(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
     assert c.digests(c.format_conversations(data.where(F.lit(False)))).count() == 0
+
+
+def test_long_conversations_are_rendered_whole(spark):
+    def keeps_four_replies(turns, reply=False):
+        assert turns == [] or turns[0][0] == "user"
+        late = [i for i, (r, _) in enumerate(turns) if r == "assistant"][-4:]
+        return c.marked([(r, t if r != "assistant" or i in late else "...") for i, (r, t) in enumerate(turns)], reply)
+
+    def numbers(turns, reply=False):
+        return "".join(f"{i}/{r}: {t}\n" for i, (r, t) in enumerate(turns)) + (f"{len(turns)}/assistant: " if reply else "")
+
+    turns = [("assistant" if i % 2 else "user", f"text {i}") for i in range(75)]
+    data = spark.createDataFrame([(k, i, *t) for k in (1, 2) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for template in (keeps_four_replies, numbers):
+        rows = c.format_conversations(data, template).orderBy("conv_id", "turn_no").collect()
+        want = c.spans(turns, template)
+        assert [(r.start, r.end, r.loss_start, r.loss_end, r.rewrites, r.piece) for r in rows] == [tuple(s) for s in want] * 2
+        assert [r.rewrites for r in rows[:75]] == [template is keeps_four_replies and i % 2 == 1 and i >= 9 for i in range(75)]
