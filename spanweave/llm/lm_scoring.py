@@ -31,6 +31,9 @@ QUERY = "op7_lm_scoring"
 ORACLE_SQL = None  # works on packed counts; tests compare with a direct count of all n-grams
 ORDER = 2
 MIN_COUNT = 2
+#: Of the registered query: trigrams, and every n-gram seen counts.
+QUERY_ORDER = 3
+QUERY_MIN_COUNT = 1
 ALPHA = 0.4
 #: Partitions of the count tables: a power of two.
 TABLE_PARTS = 1024
@@ -196,4 +199,4 @@ def _word_count(column: str):
 
 
 def query(spark, sf_dir):
-    return score(documents(spark, sf_dir))
+    return score(documents(spark, sf_dir), order=QUERY_ORDER, min_count=QUERY_MIN_COUNT)

@@ -46,3 +46,13 @@ def test_scores_equal_direct_counts(spark, tmp_path, monkeypatch, order, parts):
 def test_an_empty_table_gives_no_scores(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert m.score(docs.where(F.lit(False))).count() == 0
+
+
+def test_the_registered_query_counts_trigrams_seen_once(spark, tmp_path):
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("a b c d e f g h".split()) for _ in range(rnd.randint(1, 30))) for _ in range(30)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute(texts, 3, 1, 0.4)
+    assert want != pytest.approx(brute(texts, 2, 2, 0.4))
+    for r in m.query(spark, str(tmp_path)).collect():
+        assert r.log_score == pytest.approx(want[r.doc_id], abs=1e-6)
