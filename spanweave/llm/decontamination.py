@@ -213,7 +213,10 @@ def _pass(rows: DataFrame, bench: list[np.ndarray], weight: np.ndarray, column:
 
 
 def fit_space(rows: DataFrame, df: np.ndarray, bench: list[np.ndarray]) -> Space:
-    """IDF weights, and the leading right singular vectors by a randomised range finder and one Rayleigh-Ritz step."""
+    """IDF weights, and the leading right singular vectors by a randomised SVD that reads the passages once.
+
+    Of the normal matrix only its product with random vectors is known; the Nystrom approximation from it has the same range.
+    """
     total = int(df[-1])
     idf = np.log((1 + total) / (1 + df[:-1])).astype(np.float32)
     weight = idf + np.float32(1)
@@ -231,11 +234,13 @@ def fit_space(rows: DataFrame, df: np.ndarray, bench: list[np.ndarray]) -> Space
     latent = np.zeros((len(useful), 0), np.float32)
     k = min(len(useful), RANK + OVERSAMPLE)
     if k:
-        start = np.random.default_rng(3).standard_normal((len(useful), k)).astype(np.float32)
-        basis, _ = np.linalg.qr(_pass(rows, bench, weight, column, start))
-        again = _pass(rows, bench, weight, column, basis.astype(np.float32))
-        values, turn = np.linalg.eigh(basis.T @ again)
-        latent = (basis @ turn[:, np.argsort(-values)[:RANK]]).astype(np.float32)
+        start, _ = np.linalg.qr(np.random.default_rng(3).standard_normal((len(useful), k)))
+        product = _pass(rows, bench, weight, column, start.astype(np.float32))
+        inner = start.T @ product
+        values, turn = np.linalg.eigh((inner + inner.T) / 2)
+        some = values > 1e-6 * max(values[-1], 0)
+        left, _, _ = np.linalg.svd(product @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)
+        latent = left[:, :RANK].astype(np.float32)
     return Space(idf, weight, column, latent)
 
 
