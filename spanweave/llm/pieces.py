@@ -7,6 +7,7 @@ for which this can't be shown (rare white space or separator characters, special
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -73,23 +74,30 @@ class PieceEncoder:
         new, self.codes.new = self.codes.new, []
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            marks = list(map(self._count_marks, part))
-            together = [p for p, n in zip(part, marks, strict=True) if n]
-            found = iter(self._encode_together(together, [n for n in marks if n]))
-            alone = iter(self.tokenizer.encode_batch_fast([p for p, n in zip(part, marks, strict=True) if not n], add_special_tokens=False))
-            for n in marks:
-                self._keep(next(found) if n else next(alone).ids)
-
-    def _keep(self, ids) -> None:
+            marks = np.array([self._count_marks(p) for p in part])
+            together, alone = np.flatnonzero(marks), np.flatnonzero(marks == 0)
+            self._reserve(len(part))
+            for i in range(0, len(together), 1000):
+                chosen = together[i : i + 1000]
+                self._keep(chosen, *self._encode_together([part[k] for k in chosen.tolist()], marks[chosen]))
+            self._keep(alone, *self._encode_alone([part[k] for k in alone.tolist()]))
+            self.known += len(part)
+
+    def _reserve(self, n: int) -> None:
+        short = self.known + n - len(self.starts)
+        if short > 0:
+            more = np.empty(max(short, len(self.starts)), np.int64)
+            self.starts, self.lengths = np.concatenate([self.starts, more]), np.concatenate([self.lengths, more])
+
+    def _keep(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of pieces, one after the other, for places among those that are being learned."""
         end = self.used + len(ids)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
-        if self.known == len(self.starts):
-            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
         self.flat[self.used : end] = ids
-        self.starts[self.known], self.lengths[self.known] = self.used, len(ids)
-        self.used, self.known = end, self.known + 1
+        self.starts[self.known + places] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.known + places] = lengths
+        self.used = end
 
     def _count_marks(self, piece: str) -> int:
         """Marked ids that a piece is sure to have when it is encoded among others; 0 if that isn't sure."""
@@ -99,20 +107,20 @@ class PieceEncoder:
             return 1
         return len(RUNS.findall(piece)) if RUNS_ONLY.fullmatch(piece) and RUNS_ONLY.fullmatch(piece.lower()) else 0
 
-    def _encode_together(self, pieces: list[str], marks: list[int]) -> list:
-        """Ids of pieces, from one text of many of them: a call for each piece costs several times as much."""
-        out = []
-        for at in range(0, len(pieces), 1000):
-            part, counts = pieces[at : at + 1000], np.array(marks[at : at + 1000])
-            text = "".join(part) if self.keeps_space else " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            where = np.flatnonzero(self.marks[ids])
-            if len(where) == counts.sum():
-                bounds = where if self.keeps_space else (where + 1)[np.cumsum(counts)[:-1] - 1]
-                out += np.split(ids, bounds[1:] if self.keeps_space else bounds)
-            else:
-                out += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-        return out
+    def _encode_alone(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _encode_together(self, pieces: list[str], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces and how many each has, from one text of all of them: a call for each piece costs several times as much."""
+        text = "".join(pieces) if self.keeps_space else " ".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        where = np.flatnonzero(self.marks[ids])
+        if len(where) != marks.sum():
+            return self._encode_alone(pieces)
+        bounds = np.append(where, len(ids)) if self.keeps_space else np.concatenate([[0], (where + 1)[np.cumsum(marks)[:-1] - 1], [len(ids)]])
+        return ids, np.diff(bounds)
 
     def _plain(self, text: str) -> bool:
         if not text.isascii() or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
