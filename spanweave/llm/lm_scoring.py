@@ -1,202 +1,120 @@
-"""Stupid-backoff scores of all documents under n-gram counts of all documents.
+"""Stupid-backoff scores of documents under the n-gram counts of all other documents.
 
-Batches of documents are read in a fixed order. For every order of n-grams a batch sends its distinct keys (64-bit hashes) and their
-counts to the count table's partitions, chosen by the hash; a partition sums the counts of each key over all batches and
-sends each batch the sums for its own keys. The batch's own rows, which say which n-grams stand at which word, meet those sums
-again, and are added up by document. An n-gram of two words or more counts if it was seen MIN_COUNT times in the corpus; if not, the
-next shorter one is used, times ALPHA. The score is the sum of natural logarithms.
+Documents are dealt out to batches of about BATCH_CHARS characters by a hash. Each batch's n-grams of 1 to ``order`` words become rows
+of a 64-bit hash and its count there, so that a frequent n-gram has one row for each batch, not one for each place. The count tables are these
+rows grouped by hash, over all documents and with every n-gram seen; joined back to the rows, they give each batch the counts of its own n-grams.
+One that no other batch has needs no row back. A word's score is that of the longest n-gram ending there that another document
+has, too: its count over that of its first words, times ALPHA for every word left out, where both counts are without the document's own.
+A word that no other document has counts as one seen once. The score of a document is the sum of natural logarithms over its words.
 
-The rows of a key never meet one by one: a frequent n-gram sends one number for each batch. Batches are cut from the splits of a scan,
-so ``docs`` must be read from files: each batch's two passes carry the number and a hash of its words, and a difference stops the job.
+Without its own n-grams a document is not its own evidence: one that occurs twice scores high, one unlike all others low.
 
-Defined cases: a null or empty text has no words and the score 0 (mean null); null doc_ids and repeated rows are scored row by row; an empty table
-gives an empty result; extra columns are ignored.
+Defined cases: a null or empty text has no words and the score 0 (mean null); null doc_ids and repeated rows are scored row by row (equal
+texts are evidence for each other); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
-from spanweave.llm.common import documents, slices
+from spanweave.llm.common import documents
 
 QUERY = "op7_lm_scoring"
-ORACLE_SQL = None  # works on packed counts; tests compare with a direct count of all n-grams
-ORDER = 2
-MIN_COUNT = 2
-#: Of the registered query: trigrams, and every n-gram seen counts.
-QUERY_ORDER = 3
-QUERY_MIN_COUNT = 1
+ORACLE_SQL = None  # a trigram table and its backoff over whole texts are slow in SQL; tests compare with a direct count of all n-grams
+ORDER = 3
 ALPHA = 0.4
-#: Partitions of the count tables: a power of two.
-TABLE_PARTS = 1024
-#: Bits of a key that are kept besides its partition.
-KEY_BYTES = 6
 BATCH_CHARS = 4_000_000
 
-_ROWS = "batch long, n int, part int, check long, keys binary, counts binary, doc_ids binary, sizes binary"
-
-
-def _pack(values: np.ndarray, kind: str = "<u4") -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind, copy=False).tobytes())
-
-
-def _unpack(raw: bytes, kind: str = "<u4") -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
-
-
-def _narrow(keys: np.ndarray, part_bits: int) -> bytes:
-    """Of sorted keys, the bytes after the partition's bits."""
-    shifted = (keys << np.uint64(part_bits)).astype(">u8")
-    return np.ascontiguousarray(shifted.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]).tobytes()
-
-
-def _wide(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // KEY_BYTES, 8), np.uint8)
-    out[:, 8 - KEY_BYTES :] = np.frombuffer(raw, np.uint8).reshape(-1, KEY_BYTES)
-    return out.reshape(-1).view(">u8").astype(np.uint64)
-
 
 def _grams(found: W.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the n-gram that ends at each word, and whether its text has so many words before it."""
-    size = len(found.hashes)
-    own = np.zeros(size, np.uint64)
-    own[n - 1 :] = W.grams(found.hashes, n)
-    place = np.arange(size) - np.repeat(np.cumsum(found.counts) - found.counts, found.counts)
+    own = np.zeros(len(found.hashes), np.uint64)
+    own[n - 1 :] = W.grams(found.hashes, n) ^ W.mix(np.array([n], np.uint64))
+    place = np.arange(len(own)) - np.repeat(np.cumsum(found.counts) - found.counts, found.counts)
     return own, place >= n - 1
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list, list[str]]]:
-    """Number, doc_ids and texts of the batches of one task."""
-    number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
-    for frame in frames:
-        doc_ids = frame["doc_id"].tolist()
-        for a, b in slices(frame["text"].tolist(), BATCH_CHARS // 4):
-            ids += doc_ids[a:b]
-            texts += frame["text"].iloc[a:b].tolist()
-            size += sum(map(len, texts[a - b :]))
-            if size >= BATCH_CHARS:
-                yield number, ids, texts
-                number, ids, texts, size = number + 1, [], [], 0
-    if ids:
-        yield number, ids, texts
-
-
-def _check(found: W.Words) -> int:
-    return int((np.bitwise_xor.reduce(found.hashes) if len(found.hashes) else np.uint64(0)).view(np.int64)) ^ len(found.hashes)
-
-
-def _sent(docs: DataFrame, order: int, parts: int) -> DataFrame:
-    """The distinct n-grams of each batch with their counts, by partition of the tables."""
-    bits = parts.bit_length() - 1
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch, _, texts in _batches(frames):
-            found = W.words(texts)
-            check = _check(found)
-            for n in range(1, order + 1):
-                own, whole = _grams(found, n)
-                keys, counts = np.unique(own[whole], return_counts=True)
-                bounds = np.searchsorted(keys >> np.uint64(64 - bits), np.arange(parts + 1, dtype=np.uint64)) if bits else np.array([0, len(keys)])
-                rows = [(batch, n, p, check, _narrow(keys[a:b], bits), _pack(counts[a:b])) for p, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) if b > a]
-                yield pd.DataFrame(rows, columns=["batch", "n", "part", "check", "keys", "counts"])
-
+def batched(docs: DataFrame, batch_chars: int = BATCH_CHARS) -> tuple[DataFrame, int]:
+    """doc_id, text (null: empty) and the batch of every row; and the words of all rows."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(run, "batch long, n int, part int, check long, keys binary, counts binary")
-
+    n_words = F.aggregate(F.split("text", "[\\x20\\x09-\\x0D]+"), F.lit(0).cast("long"), lambda n, w: n + (w != "").cast("long"))
+    chars, words = texts.agg(F.sum(F.length("text")), F.sum(n_words)).first()
+    return texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, math.ceil((chars or 0) / batch_chars))))), words or 0
 
-def _looked_up(sent: DataFrame) -> DataFrame:
-    """Each batch's rows with the counts of the whole corpus."""
 
-    def total(frame: pd.DataFrame) -> pd.DataFrame:
-        keys = [_wide(raw) for raw in frame["keys"]]
-        distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(where, weights=np.concatenate([_unpack(raw) for raw in frame["counts"]]), minlength=len(distinct))
-        ends = np.cumsum([len(k) for k in keys])
-        found = np.minimum(sums[where], 2**32 - 1)
-        return frame.drop(columns=["keys", "counts"]).assign(counts=[_pack(found[e - len(k) : e]) for e, k in zip(ends.tolist(), keys, strict=True)])
+def ngrams(rows: DataFrame, order: int = ORDER) -> DataFrame:
+    """(batch, gram, n): each n-gram of 1 to ``order`` words of a batch, by its hash, and how often it stands there."""
 
-    return sent.groupBy("n", "part").applyInPandas(total, "batch long, n int, part int, check long, counts binary")
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        found = W.words(frame["text"].tolist())
+        parts = []
+        for k in range(1, order + 1):
+            own, whole = _grams(found, k)
+            parts.append(np.unique(own[whole], return_counts=True))
+        grams, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pd.DataFrame({"batch": frame["batch"].iloc[0], "gram": grams.view(np.int64), "n": n})
 
+    return rows.groupBy("batch").applyInPandas(run, "batch long, gram long, n long")
 
-def _layouts(docs: DataFrame, order: int) -> DataFrame:
-    """For each batch and order, which of its distinct n-grams ends at each word (0: none), and for order 1 its documents."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch, ids, texts in _batches(frames):
-            found = W.words(texts)
-            rows = []
-            for n in range(1, order + 1):
-                own, whole = _grams(found, n)
-                at = np.zeros(len(own), np.int64)
-                at[whole] = np.unique(own[whole], return_inverse=True)[1] + 1
-                rows.append((batch, n, -1, _check(found), _pack(at), *((_ids(ids), _pack(found.counts)) if n == 1 else (None, None))))
-            yield pd.DataFrame(rows, columns=["batch", "n", "part", "check", "counts", "doc_ids", "sizes"])
-
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInPandas(run, "batch long, n int, part int, check long, counts binary, doc_ids binary, sizes binary")
-
-
-_NO_ID = -(1 << 63)
-
-
-def _ids(ids: list) -> bytes:
-    return np.array([_NO_ID if pd.isna(x) else int(x) for x in ids], "<i8").tobytes()
+def count_tables(grams: DataFrame) -> DataFrame:
+    """(gram, total, n_batches) over all batches."""
+    return grams.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("n_batches"))
 
 
-def backoff(counts: list[np.ndarray], total: int, min_count: int, alpha: float) -> np.ndarray:
-    """Log score of each word; counts[n - 1] has that of the n-gram ending there, 0 where there is none."""
-    score = np.log(np.maximum(counts[0], 1) / max(total, 1)) + (len(counts) - 1) * np.log(alpha)
+def backoff(counts: list[np.ndarray], total: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
+    """Log score of each word; counts[n - 1] has that of the n-gram ending there, 0 where there is none, and total that of all words."""
+    score = np.log(np.maximum(counts[0], 1) / np.maximum(total, 1)) + (len(counts) - 1) * np.log(alpha)
     for n in range(2, len(counts) + 1):
         before = np.append(0, counts[n - 2][:-1])
-        seen = (counts[n - 1] >= min_count) & (before > 0)
+        seen = (counts[n - 1] > 0) & (before > 0)
         score = np.where(seen, np.log(np.maximum(counts[n - 1], 1) / np.maximum(before, 1)) + (len(counts) - n) * np.log(alpha), score)
     return score
 
 
-def score(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, alpha: float = ALPHA, parts: int = TABLE_PARTS) -> DataFrame:
-    """doc_id, n_words, log_score and mean_log_score of every document."""
-    total = docs.select(_word_count("text").alias("n")).agg(F.sum("n")).first()[0] or 0
-    returned = _looked_up(_sent(docs, order, parts))
-    layouts = _layouts(docs, order)
-    none = F.lit(None).cast("binary")
-    rows = layouts.unionByName(returned.withColumns({"doc_ids": none, "sizes": none}))
-
-    def add(frame: pd.DataFrame) -> pd.DataFrame:
-        if frame["check"].nunique() > 1:
-            raise ValueError("the documents' order changed between two passes; score documents read from files")
-        own = frame[frame["part"] < 0].set_index("n")
-        if len(own) != order:
-            raise ValueError("a batch's documents are missing in one pass; score documents read from files")
-        per_order = []
-        for n in range(1, order + 1):
-            sums = frame[(frame["n"] == n) & (frame["part"] >= 0)].sort_values("part")["counts"]
-            values = np.concatenate([np.zeros(1), *(_unpack(raw) for raw in sums)])
-            per_order.append(values[_unpack(own.loc[n, "counts"])])
-        sizes = _unpack(own.loc[1, "sizes"]).astype(np.int64)
-        each = np.concatenate([[0.0], np.cumsum(backoff(per_order, total, min_count, alpha))])
-        ends = np.cumsum(sizes)
-        ids = np.frombuffer(own.loc[1, "doc_ids"], "<i8")
-        return pd.DataFrame({"doc_id": pd.array([None if x == _NO_ID else x for x in ids.tolist()], dtype="Int64"), "n_words": sizes, "log_score": each[ends] - each[ends - sizes]})
-
-    scored = rows.groupBy("batch").applyInPandas(add, "doc_id long, n_words long, log_score double")
-    return scored.withColumn("mean_log_score", F.expr("try_divide(log_score, n_words)"))
-
+def _without_own(found: W.Words, n: int, known: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Of the n-gram ending at each word, the count in all other documents; totals are those of the sorted ``known`` ones."""
+    own, whole = _grams(found, n)
+    _, where, here = np.unique(own[whole], return_inverse=True, return_counts=True)
+    text = np.repeat(np.arange(len(found.counts)), found.counts)[whole]
+    _, pair, in_text = np.unique(text * np.int64(len(here) or 1) + where, return_inverse=True, return_counts=True)
+    count = here[where]
+    if len(known):
+        at = np.minimum(np.searchsorted(known, own[whole]), len(known) - 1)
+        count = np.where(known[at] == own[whole], totals[at], count)
+    out = np.zeros(len(own), np.int64)
+    out[whole] = count - in_text[pair]
+    return out
 
-def _word_count(column: str):
-    @F.pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(t.encode(errors="surrogatepass").split()) if isinstance(t, str) else 0 for t in texts])
 
-    return count(column)
+def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_chars: int = BATCH_CHARS) -> DataFrame:
+    """doc_id, n_words, log_score and mean_log_score of every document."""
+    rows, words = batched(docs, batch_chars)
+    by_gram = ngrams(rows, order).repartition("gram")
+    tables = count_tables(by_gram)
+    known = by_gram.join(tables.where("n_batches > 1"), "gram").select("batch", "gram", "total")
+
+    def add(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        found = W.words(texts["text"].tolist())
+        grams = counts["gram"].to_numpy(np.int64).view(np.uint64)
+        order_of = np.argsort(grams)
+        grams, totals = grams[order_of], counts["total"].to_numpy(np.int64)[order_of]
+        others = np.repeat(words - found.counts, found.counts)
+        each = backoff([_without_own(found, n, grams, totals) for n in range(1, order + 1)], others, alpha)
+        sums = np.concatenate([[0.0], np.cumsum(each)])
+        ends = np.cumsum(found.counts)
+        out = pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "n_words": found.counts})
+        return out.assign(log_score=sums[ends] - sums[ends - found.counts])
+
+    scored = rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(add, "doc_id long, n_words long, log_score double")
+    return scored.withColumn("mean_log_score", F.expr("try_divide(log_score, n_words)"))
 
 
 def query(spark, sf_dir):
-    return score(documents(spark, sf_dir), order=QUERY_ORDER, min_count=QUERY_MIN_COUNT)
+    return score(documents(spark, sf_dir))

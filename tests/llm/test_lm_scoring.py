@@ -8,35 +8,41 @@ from pyspark.sql import functions as F
 from spanweave.llm import lm_scoring as m
 
 
-def brute(texts, order, min_count, alpha):
+def brute(texts, order, alpha=0.4):
+    """Scores of all texts, each under the counts of all others."""
     tokens = [(t or "").split() for t in texts]
-    counts = Counter(tuple(t[i : i + n]) for t in tokens for n in range(1, order + 1) for i in range(len(t) - n + 1))
-    total = sum(map(len, tokens))
-    out = []
+
+    def count(t):
+        return Counter(tuple(t[i : i + n]) for n in range(1, order + 1) for i in range(len(t) - n + 1))
+
+    every, total, out = Counter(), sum(map(len, tokens)), []
+    for t in tokens:
+        every.update(count(t))
     for t in tokens:
-        s = 0.0
+        own, s = count(t), 0.0
         for i in range(len(t)):
             for n in range(min(order, i + 1), 0, -1):
                 gram = tuple(t[i - n + 1 : i + 1])
-                if n == 1 or counts[gram] >= min_count:
-                    base = counts[gram[:-1]] if n > 1 else total
-                    s += math.log(counts[gram] / base) + (order - n) * math.log(alpha)
+                seen = every[gram] - own[gram]
+                if n == 1:
+                    s += math.log(max(seen, 1) / max(total - len(t), 1)) + (order - 1) * math.log(alpha)
+                elif seen:
+                    s += math.log(seen / (every[gram[:-1]] - own[gram[:-1]])) + (order - n) * math.log(alpha)
                     break
         out.append(s)
     return out
 
 
-@pytest.mark.parametrize(("order", "parts"), [(2, 8), (3, 4), (1, 1)])
-def test_scores_equal_direct_counts(spark, tmp_path, monkeypatch, order, parts):
-    monkeypatch.setattr(m, "BATCH_CHARS", 3000)
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_equal_direct_counts(spark, order):
     rnd = random.Random(order)
     texts = [" ".join(rnd.choice("a b c dd ee the of É x1 x2 x3".split()) for _ in range(rnd.randint(0, 80))) for _ in range(150)]
     texts += [None, "", "once", "the the the " * 900, texts[3], " \n "]
-    spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)] + [(3, texts[3], 0.5), (None, "zz a", 0.5)], "doc_id long, text string, log_score double").repartition(3).write.parquet(f"{tmp_path}/d")
-    docs = spark.read.parquet(f"{tmp_path}/d")
-    got = m.score(docs, order=order, parts=parts).collect()
+    rows = [(i, t, 0.5, 1) for i, t in enumerate(texts)] + [(3, texts[3], 0.5, 1), (None, "zz a", 0.5, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, log_score double, batch long").repartition(3)
+    got = m.score(docs, order=order, batch_chars=3000).collect()
     assert len(got) == len(texts) + 2
-    want = brute([*texts, texts[3], "zz a"], order, 2, 0.4)
+    want = brute([*texts, texts[3], "zz a"], order)
     for r in got:
         i = len(texts) + 1 if r.doc_id is None else r.doc_id
         assert r.log_score == pytest.approx(want[i], abs=1e-6)
@@ -52,7 +58,14 @@ def test_the_registered_query_counts_trigrams_seen_once(spark, tmp_path):
     rnd = random.Random(5)
     texts = [" ".join(rnd.choice("a b c d e f g h".split()) for _ in range(rnd.randint(1, 30))) for _ in range(30)]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    want = brute(texts, 3, 1, 0.4)
-    assert want != pytest.approx(brute(texts, 2, 2, 0.4))
+    want = brute(texts, 3)
+    assert want != pytest.approx(brute(texts, 2))
     for r in m.query(spark, str(tmp_path)).collect():
         assert r.log_score == pytest.approx(want[r.doc_id], abs=1e-6)
+
+
+def test_a_copy_scores_above_a_text_alone(spark):
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choices("a b c d e f g h i j k l m n o p".split(), k=40)) for _ in range(20)]
+    got = {r.doc_id: r.mean_log_score for r in m.score(spark.createDataFrame(list(enumerate([*texts, texts[7]])), "doc_id long, text string")).collect()}
+    assert min(got[7], got[20]) > max(v for k, v in got.items() if k not in (7, 20))
