@@ -151,7 +151,7 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 def digests(turns: DataFrame) -> DataFrame:
     """Per conversation, read back from its pieces: n_turns, turns_sha256, loss_chars, loss_sha256 and formatted_chars.
 
-    ``turns`` must come right from format_conversations, whose order it uses; one conversation is read as a stream.
+    ``turns`` must come right from format_conversations, whose order it uses (another one is an error); one conversation is read as a stream.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,6 +167,8 @@ def digests(turns: DataFrame) -> DataFrame:
                 if r.turn_no == 0:
                     close()
                     key, own = conv_id, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                elif not own or key != conv_id or r.turn_no != own[0]:
+                    raise ValueError("turns are out of order")
                 role, text = parse(r.piece)
                 own[0] += 1
                 own[1].update(f"{role}\n{text}\n".encode(errors="surrogatepass"))

@@ -5,15 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temporary one only where it is unset."""
+    """The folder that the cluster shares (spark.checkpoint.dir). Where it is unset, a local session gets a temporary one; a cluster must set it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='spanweave-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -30,16 +32,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ranges(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """Index ranges whose sizes add up to about so much each."""
+    start = total = end = 0
+    for end, size in enumerate(sizes, 1):
+        total += size
+        if total >= most:
+            yield start, end
+            start, total = end, 0
+    if start < end:
+        yield start, end
+
+
 def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Index ranges of about so many characters each, to bound what a Python worker holds at once."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= chars:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    return ranges(map(len, texts), chars)
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Such names, with more underscores where a column has one of them already."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def tokenizer_path(name: str) -> str:

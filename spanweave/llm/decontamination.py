@@ -27,7 +27,7 @@ from spanweave.llm import words as W
 from spanweave.llm.common import documents, materialize, slices
 
 QUERY = "op9_benchmark_decontamination"
-ORACLE_SQL = None  # an SVD is no SQL; tests compare with brute force over all windows
+ORACLE_SQL = None  # an SVD is no SQL; tests compare findings with brute force over all windows
 FEATURES = 1 << 17
 PASSAGE = 64
 STEP = 32
@@ -338,8 +338,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    found = materialize(contaminated(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct(), "decontamination-found")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti")
+    found = materialize(contaminated(docs, benchmark).select(F.col("doc_id").alias("found_id")).distinct(), "decontamination-found")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["found_id"]), "left_anti")
 
 
 def query(spark, sf_dir):

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import documents, slices
+from spanweave.llm.common import documents, fresh, slices
 
 QUERY = "op6_language_id"
 ORACLE_SQL = None  # a trained model is no SQL; tests measure held-out accuracy
@@ -219,10 +219,17 @@ def identify(docs: DataFrame, model: Model, columns: list[str] | None = None) ->
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """Documents whose language is told with such a score at least; learned from the documents' own lang."""
+    """Documents whose language is told with such a score at least; learned from the documents' own lang.
+
+    Null texts and those without a letter go; without any labelled document no language can be told, and all that have a letter stay.
+    """
     model = train(learning_rows(docs))
+    if not model.languages:
+        return docs.where(F.col("text").rlike("\\p{L}"))
+    (said_name,) = fresh(docs, "said")
     said = F.pandas_udf(lambda t: pd.DataFrame(dict(zip(("name", "score"), predict(model, [x if isinstance(x, str) else None for x in t]), strict=True))), "name string, score double")
-    return docs.withColumn("_said", said("text")).where((F.col("_said.name") != UNKNOWN) & (F.col("_said.score") >= least)).drop("_said")
+    told = F.col(said_name)
+    return docs.withColumn(said_name, said("text")).where((told["name"] != UNKNOWN) & (told["score"] >= least)).drop(said_name)
 
 
 def query(spark, sf_dir):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
-from spanweave.llm.common import documents, materialize, slices, with_rows_of
+from spanweave.llm.common import documents, fresh, materialize, slices, with_rows_of
 
 QUERY = "op4_line_dedup"
 ORACLE_SQL = None  # winnowing and word-wise extension are no SQL; tests compare with brute force
@@ -61,7 +61,8 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
 
 
 def _key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    """(key, doc_id, text)"""
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
 
 def _fingerprints(docs: DataFrame) -> DataFrame:
@@ -81,9 +82,9 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
                         owner.append(np.full(len(fps[-1]), i))
                     at += n
                 if fps:
-                    yield pd.DataFrame({"fp": np.concatenate(fps).view(np.int64), "key": frame["_key"].to_numpy()[np.concatenate(owner)]})
+                    yield pd.DataFrame({"fp": np.concatenate(fps).view(np.int64), "key": frame["key"].to_numpy()[np.concatenate(owner)]})
 
-    return _key(docs).where("text IS NOT NULL").select("_key", "text").mapInPandas(run, "fp long, key long")
+    return _key(docs).where("text IS NOT NULL").select("key", "text").mapInPandas(run, "fp long, key long")
 
 
 def _shared(docs: DataFrame) -> DataFrame:
@@ -163,10 +164,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     if min_words < LINE_WORDS + WINDOW - 1:
         raise ValueError("runs so short needn't hold a fingerprint")
     shared = materialize(_shared(docs), "winnow-shared")
-    texts = with_rows_of(_key(docs).select("doc_id", F.col("_key").alias("key"), "text"), shared.select("key"), "key").dropDuplicates(["key"])
+    texts = with_rows_of(_key(docs), shared.select("key"), "key").dropDuplicates(["key"])
     runs = _repeats(_passages(texts.join(shared, "key"), min_words), min_words)
-    together = F.udf(lambda r: union([(x.start, x.end) for x in r]), "array<struct<start:int,end:int>>")
-    return runs.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("runs")).select("key", together("runs").alias("runs"))
+
+    def together(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            joined = [[{"start": a, "end": b} for a, b in union([(r["start"], r["end"]) for r in own])] for own in frame["runs"]]
+            yield pd.DataFrame({"key": frame["key"], "runs": joined})
+
+    return runs.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("runs")).mapInPandas(together, "key long, runs array<struct<start:int,end:int>>")
 
 
 def cut(text: str, runs: list[tuple[int, int]]) -> str:
@@ -189,20 +195,25 @@ def drop_repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"_key": frame["_key"], "_left": [cut(t, [(r["start"], r["end"]) for r in runs]) for t, runs in zip(frame["text"], frame["runs"], strict=True)]})
-
-    runs = materialize(repeated_runs(docs, min_words).withColumnRenamed("key", "_key"), "winnow-runs")
-    hit = with_rows_of(_key(docs).select("_key", "text"), runs.select("_key"), "_key").dropDuplicates(["_key"])
-    left = materialize(hit.join(runs, "_key").select("_key", "text", "runs").mapInPandas(run, "_key long, _left string"), "winnow-left")
-    joined = _key(docs).join(left, "_key", "left").where(F.col("_left").isNull() | F.col("_left").rlike("[^\\x20\\x09-\\x0D]"))
-    text = F.coalesce("_left", "text")
-    changed = {"text": text, "n_chars": F.when(F.col("_left").isNull(), F.col("n_chars")).otherwise(F.length("_left")) if "n_chars" in docs.columns else None}
-    return joined.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if changed.get(c) is not None else F.col(c) for c in docs.columns))
+            for a, b in slices(frame["text"].tolist()):
+                part = frame.iloc[a:b]
+                left = [cut(t, [(r["start"], r["end"]) for r in runs]) for t, runs in zip(part["text"], part["runs"], strict=True)]
+                yield pd.DataFrame({"key": part["key"], "left": left})
+
+    runs = materialize(repeated_runs(docs, min_words), "winnow-runs")
+    hit = with_rows_of(_key(docs).select("key", "text"), runs.select("key"), "key").dropDuplicates(["key"])
+    key, rest = fresh(docs, "key", "left")
+    left = materialize(hit.join(runs, "key").select("key", "text", "runs").mapInPandas(run, "key long, left string"), "winnow-left").toDF(key, rest)
+    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(left, key, "left").where(F.col(rest).isNull() | F.col(rest).rlike("[^\\x20\\x09-\\x0D]"))
+    changed = {"text": F.coalesce(rest, "text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col(rest).isNull(), F.col("n_chars")).otherwise(F.length(rest))
+    return joined.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
 def query(spark, sf_dir):
     docs = documents(spark, sf_dir)
     runs = repeated_runs(docs)
-    rows = _key(docs).select("doc_id", F.col("_key").alias("key")).join(runs, "key", "left")
+    rows = _key(docs).select("doc_id", "key").join(runs, "key", "left")
     deleted = F.expr("aggregate(runs, 0L, (n, r) -> n + r.end - r.start)")
     return rows.select("doc_id", F.coalesce(F.size("runs"), F.lit(0)).alias("n_runs"), F.coalesce(deleted, F.lit(0).cast("long")).alias("n_deleted_words"), F.coalesce("runs", F.array().cast("array<struct<start:int,end:int>>")).alias("runs"))

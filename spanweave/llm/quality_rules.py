@@ -53,7 +53,7 @@ POLICIES = {
 }
 CURRENT = "web-3"
 
-#: Labelled documents that the stems are learned from, the first by doc_id; lengths of stems; and what makes one telling: it stands in
+#: Labelled documents that the stems are learned from, in the order of a hash of doc_id; lengths of stems; and what makes one telling: it stands in
 #: STEM_LEAST toxic texts and in one of STEM_SHARE of them, and STEM_RATIO times as often there as in others.
 FIT_ROWS = 6000
 STEM_LENGTHS = range(3, 9)
@@ -117,7 +117,8 @@ def _words_of(text: str) -> set[str]:
 
 def toxic_stems(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[str]:
     """Beginnings of words that tell toxic documents, from (doc_id, toxic) labels of at most ``fit_rows`` documents; none without both kinds."""
-    chosen = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").orderBy("doc_id", "toxic").limit(fit_rows)
+    by_hash = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    chosen = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").orderBy(by_hash, "doc_id", "toxic").limit(fit_rows)
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").distinct()  # fit_rows small rows
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,7 +187,8 @@ def ablation(rows: DataFrame, version: str = CURRENT) -> DataFrame:
 
 def query(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    rows = apply_policy(ledger(docs, toxic_stems(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))))
+    stored = materialize(ledger(docs, toxic_stems(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))), "quality-ledger")
+    rows = apply_policy(stored)
     base = F.col("failed").bitwiseAND(F.lit(BASE)) != 0
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
 
@@ -199,7 +201,7 @@ g AS (SELECT r, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
       FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)),
 d AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM g),
 m AS (SELECT r, count(DISTINCT j) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM d WHERE n > 1) GROUP BY r),
-fit AS (SELECT DISTINCT d.doc_id, d.text, l.toxic FROM (SELECT doc_id, toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL ORDER BY doc_id, toxic LIMIT {FIT_ROWS}) l
+fit AS (SELECT DISTINCT d.doc_id, d.text, l.toxic FROM (SELECT doc_id, toxic FROM labels WHERE doc_id IS NOT NULL AND toxic IS NOT NULL ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, toxic LIMIT {FIT_ROWS}) l
       JOIN documents d USING (doc_id) WHERE d.text IS NOT NULL),
 pre AS (SELECT DISTINCT doc_id, text, toxic, v[1:k] AS stem FROM (SELECT doc_id, text, toxic, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS v FROM fit), range({STEM_LENGTHS.start}, {STEM_LENGTHS.stop}) ks(k) WHERE length(v) >= k),
 total AS (SELECT count(*) FILTER (toxic = 1) AS nt, count(*) FILTER (toxic <> 1) AS nc FROM fit),

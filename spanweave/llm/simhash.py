@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
-from spanweave.llm.common import documents, materialize, slices
+from spanweave.llm.common import documents, fresh, materialize, ranges, slices
 from spanweave.llm.graph import components
 
 QUERY = "op2_simhash_near_dedup"
@@ -326,7 +326,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at, to in slices(list(map(operator.add, frame["a"], frame["b"]))):
+            for at, to in ranges(map(operator.add, map(len, frame["a"]), map(len, frame["b"])), 2_000_000):
                 part = frame.iloc[at:to]
                 own, other = (W.words(part[c].tolist(), lower=True).of_texts() for c in ("a", "b"))
                 good = np.fromiter((jaccard(x, y) >= similarity for x, y in zip(own, other, strict=True)), bool, len(own))
@@ -366,17 +366,20 @@ def _all_of(named: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class: that with the smallest doc_id (null last), one row of it."""
-    rows = docs.withColumn("_node", F.xxhash64(F.coalesce("text", F.lit(""))))
-    roots = near_duplicates(docs, similarity).withColumnRenamed("node", "_node")
-    ids = materialize(rows.groupBy("doc_id", "_node").count(), "simhash-ids")
-    named = ids.join(roots, "_node", "left").withColumn("_root", F.coalesce("root", "_node"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_node")
-    least = named.groupBy("_root").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1")
-    lost = named.join(least, "_root").where(place != F.col("best")).select(F.col("doc_id").alias("_id"), F.col("_node").alias("_other"))
-    kept = rows.join(lost, (rows["_node"] == lost["_other"]) & rows["doc_id"].eqNullSafe(lost["_id"]), "left_anti")
-    if not ids.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_node"])
+    """One document of each class: that with the smallest doc_id (null last), one row of it.
+
+    Texts without words are one class; of rows repeated as a whole one stays; an empty table stays empty; all columns are kept.
+    """
+    (node,) = fresh(docs, "node")
+    rows = docs.withColumn(node, F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = materialize(rows.groupBy("doc_id", F.col(node).alias("node")).agg(F.count("*").alias("n_rows")), "simhash-ids")
+    named = ids.join(near_duplicates(docs, similarity), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    least = named.groupBy("root").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1")
+    lost = named.join(least, "root").where(place != F.col("best")).select(F.col("doc_id").alias("lost_id"), F.col("node").alias("lost_node"))
+    kept = rows.join(lost, (rows[node] == lost["lost_node"]) & rows["doc_id"].eqNullSafe(lost["lost_id"]), "left_anti")
+    if not ids.where("n_rows > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", node])
     return kept.select(*docs.columns)
 
 

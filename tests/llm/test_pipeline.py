@@ -51,3 +51,24 @@ def test_planted_cases_go_and_clean_documents_stay(spark, tmp_path):
         ids = [*library.encode(left[r.doc_id], add_special_tokens=False).ids, 0][r.start : r.start + r.length]
         assert zlib.crc32(np.array(ids, "<u4").tobytes()) == r.ids_crc32
     assert corpus_pipeline.STAGES[0][0] == "language_id" and docs.where(F.col("doc_id") == 220).count() == 1
+
+
+def test_empty_documents_and_clashing_columns(spark, tmp_path):
+    rnd = random.Random(12)
+    names = ["node", "key", "left", "said", "root", "n_rows", "lost_id", "found_id", "_node", "_key"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    text, twice = (" ".join(make(rnd, "de", 70)) for _ in range(2))
+    rows = [(1, text, "de", "s", 0, *names), (2, text, "de", "s", 0, *names), (3, twice, "de", "s", 0, *names), (4, None, None, None, None, *names), (None, "x" * 300_000, "de", "s", 0, *names)]
+    full = spark.createDataFrame(rows, schema)
+    for kind, docs in (("empty", full.where(F.lit(False))), ("unlabelled", full.withColumn("lang", F.lit(None).cast("string"))), ("full", full)):
+        d = tmp_path / kind
+        docs.write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        now = spark.read.parquet(f"{d}/documents.parquet")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(d))
+            assert now.columns == docs.columns, name
+        got = now.collect()
+        assert sorted(r.doc_id or 0 for r in got) == ([] if kind == "empty" else [0, 1, 3])
+        assert all([r[n] for n in names] == names for r in got)
+        assert corpus_pipeline.run(spark, str(d)).where("doc_id = 1").count() == (kind != "empty")
