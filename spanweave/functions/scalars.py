@@ -5,13 +5,15 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Stands for null in surrogate keys.
-NULL_KEY = "_null_"
+# What stands for null in surrogate keys; letters and signs that no decomposition takes to ASCII.
+NULL_KEY = "_dbt_utils_surrogate_key_null_"
+LETTERS = {
+    "Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Þ": "Th", "þ": "th", "ß": "ss", "Æ": "AE", "æ": "ae",
+    "Œ": "OE", "œ": "oe", "ı": "i", "Ħ": "H", "ħ": "h", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "…": "...", "\xa0": " ",
+}
 
 
 def surrogate_key(*columns: Column | str) -> Column:
@@ -38,14 +40,25 @@ def clamp_above(c: Column, top: float) -> Column:
     return F.when(c > top, F.lit(top)).otherwise(c)
 
 
-def ascii_letters(c: Column) -> Column:
-    """Without accents and other signs that ASCII lacks."""
-    return _strip(c)
+def _to_ascii() -> dict[str, str]:
+    """What the letters of the Latin blocks are without their accents."""
+    out = dict(LETTERS)
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+        if plain:
+            out.setdefault(chr(code), plain)
+    return out
 
 
-@F.pandas_udf(T.StringType())
-def _strip(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
+def ascii_letters(c: Column) -> Column:
+    """Latin letters and common signs as ASCII; other signs that ASCII lacks are left out."""
+    known = _to_ascii()
+    single = {k: v for k, v in known.items() if len(v) == 1}
+    c = F.translate(c, "".join(single), "".join(single.values()))
+    for k, v in LETTERS.items():
+        if len(v) > 1:
+            c = F.replace(c, F.lit(k), F.lit(v))
+    return F.regexp_replace(c, r"[^\x00-\x7F]", "")
 
 
 def without(c: Column, *others: Column) -> Column:
@@ -66,9 +79,8 @@ def squeeze(c: Column) -> Column:
 
 def money(c: Column) -> Column:
     """$1,234 as 1234, (1,234) as -1234, anything else as null."""
-    digits = F.regexp_replace(c, r"[^0-9.]", "")
-    sign = F.when(F.trim(c).rlike(r"^\(.*\)$") | F.trim(c).startswith("-"), -1).otherwise(1)
-    return (sign * digits.try_cast("double")).cast("bigint")
+    plain = F.trim(F.regexp_replace(F.replace(F.replace(c, F.lit("("), F.lit("-")), F.lit(")"), F.lit("")), "[$,]", ""))
+    return F.when(plain.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"), plain).try_cast("double").cast("bigint")
 
 
 def dollars(c: Column) -> Column:
@@ -76,24 +88,34 @@ def dollars(c: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(c, 2), F.lit("M"))
 
 
+def one_decimal(c: Column) -> Column:
+    """1234.56 as 1234.6."""
+    return F.format_string("%.1f", c.cast("double"))
+
+
 def given_name_first(c: Column) -> Column:
     """'Last, First' as 'First Last'."""
     return F.when(c.contains(","), F.array_join(F.reverse(F.transform(F.split(c, ",", 2), lambda x: F.trim(x))), " ")).otherwise(F.trim(c))
 
 
 def plain_name(c: Column) -> Column:
-    """Lower case, without quoted or bracketed parts, with a 'jr' at the end and no full stops."""
-    c = F.regexp_replace(F.lower(c), r"\"[^\"]*\"|\([^)]*\)|[.]", " ")
-    junior = c.rlike(r"\bjr\b")
-    c = squeeze(F.regexp_replace(c, r"\bjr\b", " "))
-    return F.when(junior, F.concat(c, F.lit(" jr"))).otherwise(c)
+    """Lower case and ASCII, without quoted or bracketed parts and full stops, hyphens as spaces, and with a 'jr' at the end."""
+    c = squeeze(ascii_letters(squeeze(F.regexp_replace(F.lower(c), r"\"[^\"]*\"|\([^)]*\)", ""))))
+    parts = F.split(F.regexp_replace(c, "[.]", ""), " ")
+    rest = F.array_join(F.filter(parts, lambda x: x != "jr"), " ")
+    moved = F.when(F.array_contains(parts, "jr"), F.concat(rest, F.lit(" jr"))).otherwise(rest)
+    return squeeze(F.replace(moved, F.lit("-"), F.lit(" ")))
 
 
 def without_initial(c: Column) -> Column:
-    """Without single letters between the first and the last part of a name."""
+    """A name of three parts without the middle one, if that is a letter and a full stop."""
     parts = F.split(squeeze(c), " ")
-    inner = F.filter(parts, lambda x, i: (i == 0) | (i == F.size(parts) - 1) | (F.length(x) > 1))
-    return F.array_join(inner, " ")
+    return F.when((F.size(parts) == 3) & F.get(parts, F.lit(1)).rlike("^.[.]$"), F.concat_ws(" ", F.get(parts, F.lit(0)), F.get(parts, F.lit(2)))).otherwise(c)
+
+
+def side_of(half: Column, top: Column, bottom: Column) -> Column:
+    """One value in the top half of an inning, another in the bottom half, else null."""
+    return F.when(half.isin("Top", "T"), top).when(half.isin("Bot", "B"), bottom)
 
 
 def renamed(c: Column, names: Mapping[str, str]) -> Column:

@@ -15,11 +15,11 @@ def pivot_metrics(df: DataFrame, by: Sequence[str], kind: str, kinds: Sequence[s
 
 
 def stacked(df: DataFrame, dims: Sequence[str], metric: Column, name: str) -> DataFrame:
-    """A metric summed by one or two dimensions (twice the same: by one); rows with a null dimension are left out."""
+    """A metric summed by one or two dimensions (twice the same: by one); rows with a null dimension are left out, a group of nulls only is 0."""
     dims = list(dict.fromkeys(dims))
     for d in dims:
         df = df.where(F.col(d).isNotNull())
-    return df.groupBy(*dims).agg(F.sum(metric).alias(name))
+    return df.groupBy(*dims).agg(F.coalesce(F.sum(metric), F.lit(0)).alias(name))
 
 
 def top_with_others(df: DataFrame, name: str, value: str, n: int, others: str = "Others") -> DataFrame:
@@ -34,8 +34,8 @@ def top_with_others(df: DataFrame, name: str, value: str, n: int, others: str =
 def order_categories(df: DataFrame, name: str, value: str, last: str = "Others") -> DataFrame:
     """Adds place: categories by their total, greatest first, ``last`` always at the end."""
     totals = df.groupBy(name).agg(F.sum(value).alias("_total"))
-    place = F.row_number().over(Window.orderBy((F.col(name) == last).cast("int"), F.col("_total").desc_nulls_last(), F.col(name)))  # a row for each category
-    return df.join(F.broadcast(totals.select(name, place.alias("place"))), name)
+    place = F.row_number().over(Window.orderBy((F.col(name).cast("string") == last).cast("int"), F.col("_total").desc_nulls_last(), F.col(name)))  # a row for each category
+    return df.join(totals.select(name, place.alias("place")), name)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,3 +29,8 @@ def yes_no(column: str, choice: str) -> Column:
 def search(column: str, text: str) -> Column:
     """Contains a text, in whatever case."""
     return F.lower(column).contains(text.strip().lower())
+
+
+def search_options(options: DataFrame, column: str, text: str, most: int = 120) -> DataFrame:
+    """The first options in order that contain a text, as many as are shown at once."""
+    return options.where(search(column, text)).orderBy(column).limit(most)

@@ -80,14 +80,21 @@ def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_span
     def slot(c: str) -> Column:
         return F.floor(F.unix_date(F.col(c).cast("date")) / F.lit(slice_days))
 
-    rows = left.withColumn("_row", F.xxhash64(*left.columns))
-    cut = rows.where(f"{a} <= {b}").withColumn("_slice", F.explode(F.sequence(slot(a), slot(b))))
-    other = right.where(f"{x} <= {y}").withColumn("_slice", F.explode(F.sequence(slot(x), slot(y))))
-    pairs = cut.join(other, [*by, "_slice"]).where(meets & (F.col("_slice") == F.greatest(slot(a), slot(x)))).drop("_slice")
-    if how == "inner":
-        return pairs.drop("_row")
+    def cut(df: DataFrame, from_: str, to: str) -> DataFrame:
+        return df.withColumn("_slice", F.explode(F.sequence(F.least(slot(from_), slot(to)), F.greatest(slot(from_), slot(to)))))
+
+    first = F.greatest(F.least(slot(a), slot(b)), F.least(slot(x), slot(y)))
+    pairs = cut(left, a, b).join(cut(right, x, y), [*by, "_slice"]).where(meets & (F.col("_slice") == first)).drop("_slice")
     extra = [c for c in right.columns if c not in by]
-    return rows.join(pairs.select("_row", *extra).distinct(), "_row", "left").select(*left.columns, *extra)
+    pairs = pairs.select(*left.columns, *extra)
+    if how == "inner":
+        return pairs
+    met = pairs.select(*(F.col(c).alias(f"_m_{c}") for c in left.columns)).distinct()
+    on = F.lit(True)
+    for c in left.columns:
+        on &= F.col(c).eqNullSafe(F.col(f"_m_{c}"))
+    alone = left.join(met, on, "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True)
 
 
 def clip(start: Column, end: Column, low: Column, high: Column) -> tuple[Column, Column]:

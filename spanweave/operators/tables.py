@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,21 +57,55 @@ def apply_overrides(target: DataFrame, key: str, updates: DataFrame | None = Non
     return upsert_replace(target, upserts, [key]) if upserts is not None else target
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at, at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table; one that a stopped write had moved aside is put back first."""
+    at, fs = _file_system(spark, path)
+    if not fs.exists(at(path)) and fs.exists(at(f"{path}.last")) and not fs.rename(at(f"{path}.last"), at(path)):
+        raise OSError(f"can't put {path} back")
+    return fs.exists(at(path))
+
+
 def write_version(df: DataFrame, path: str) -> None:
-    """Write a table beside its old version, then put it in its place: readers never see half of it."""
+    """Write a table beside its old version, then put it in its place.
+
+    If it stops between the two renames, the old version lies aside; the next call, or ``table_exists``, puts it back.
+    """
     spark = df.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path
+    at, fs = _file_system(spark, path)
     fresh, old = f"{path}.next", f"{path}.last"
     df.write.mode("overwrite").parquet(fresh)
-    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(at(old), True)
-    if fs.exists(at(path)) and not fs.rename(at(path), at(old)):
-        raise OSError(f"can't move {path}")
+    if table_exists(spark, path):
+        fs.delete(at(old), True)
+        if not fs.rename(at(path), at(old)):
+            raise OSError(f"can't move {path}")
     if not fs.rename(at(fresh), at(path)):
         raise OSError(f"can't put {path} in place")
     fs.delete(at(old), True)
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """Add rows to a table as they are."""
+    df.write.mode("append").parquet(path)
+
+
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at a path, made empty with the two ingest times if there is none."""
+    if not table_exists(spark, path):
+        times = [T.StructField(c, T.TimestampType()) for c in ("first_ingested_at", "last_ingested_at")]
+        write_version(spark.createDataFrame([], T.StructType([*schema.fields, *times])), path)
+    return spark.read.parquet(path)
+
+
+def truncate(spark: SparkSession, path: str) -> None:
+    """Remove all rows of a table; its columns stay."""
+    write_version(spark.createDataFrame([], spark.read.parquet(path).schema), path)
+
+
 def first_ingest(df: DataFrame, now: Column | None = None) -> DataFrame:
     """Adds the times of the first and the last ingest of each row."""
     now = F.current_timestamp() if now is None else now

@@ -57,15 +57,19 @@ def changed(column: str, by: Sequence[str], order: Sequence[Column | str]) -> Co
     return F.when(F.col(column) == before, False).otherwise(True)
 
 
-def recent(df: DataFrame, columns: Sequence[str], by: Sequence[str], order: Sequence[Column | str], n: int, name: str = "history") -> DataFrame:
+def recent(df: DataFrame, columns: Sequence[str], by: Sequence[str], order: Sequence[Column | str], n: int, name: str = "history", strict: str | None = None) -> DataFrame:
     """Adds an array of the n rows before this one, newest first, each with its recency rn from 1.
 
-    A frame of n rows does it: no row is joined with all of its history.
+    A frame of n rows does it: no row is joined with all of its history. ``strict`` names the first column of the order, of which
+    only lower values count as before: rows that are equal in it all get the history of the first of them.
     """
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(-n, -1)
     listed = F.reverse(F.collect_list(F.struct(*columns)).over(w))
     ranked = F.transform(listed, lambda x, i: F.struct((i + 1).cast("int").alias("rn"), *(x[c].alias(c) for c in columns)))
-    return df.withColumn(name, ranked)
+    df = df.withColumn(name, ranked)
+    if strict:
+        df = df.withColumn(name, F.first(name).over(Window.partitionBy(*by, strict).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return df
 
 
 def _values(history: Column, column: str, n: int) -> Column:

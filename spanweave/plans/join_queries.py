@@ -72,7 +72,7 @@ _SPANS = """spans AS (
     WHERE s >= CAST(o_orderdate AS DATE))"""
 _PERIODS = """periods AS (
     SELECT o_custkey, CAST(o_orderdate AS DATE) AS period_start, CAST(o_orderdate AS DATE) + 400 AS period_end, o_orderkey AS period_key
-    FROM orders WHERE o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%')"""
+    FROM orders)"""
 _OVERLAP = f"""
     WITH {_SPANS}, {_PERIODS}
     SELECT s.o_orderkey, s.o_custkey, p.period_key, greatest(s.span_start, p.period_start) AS start_date, least(s.span_end, p.period_end) AS end_date
@@ -81,7 +81,7 @@ _OVERLAP = f"""
 
 
 def _overlap(spark, sf_dir, slice_days):
-    periods = table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%'")
+    periods = table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     periods = periods.select("o_custkey", day.alias("period_start"), F.date_add(day, 400).alias("period_end"), F.col("o_orderkey").alias("period_key"))
     rows = overlap_join(_spans(spark, sf_dir), periods, ["o_custkey"], ("span_start", "span_end"), ("period_start", "period_end"), slice_days=slice_days)
@@ -110,7 +110,7 @@ def interval_overlap_sliced(spark, sf_dir):
     """,
 )
 def interval_attribution(spark, sf_dir):
-    periods = table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%'")
+    periods = table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     periods = periods.select("o_custkey", day.alias("period_start"), F.date_add(day, 400).alias("period_end"), F.col("o_orderkey").alias("period_key"))
     rows = overlap_join(_spans(spark, sf_dir), periods, ["o_custkey"], ("span_start", "span_end"), ("period_start", "period_end"))

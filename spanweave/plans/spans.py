@@ -148,15 +148,22 @@ def severe_first(spans: DataFrame) -> DataFrame:
 
 
 def by_team(spans: DataFrame, rosters: DataFrame, as_of: Column) -> DataFrame:
-    """Spans cut to the times on each team's roster; one row for each person, team and start."""
+    """Spans cut to the times on each team's roster; of equal parts that of the latest status stays.
+
+    Roster rows with status_code RA, or none, don't count; rosters without the columns status_code, status_date or roster_sk are taken as they are.
+    """
     left = spans.withColumn("_end", F.coalesce("return_date", as_of))
-    other = rosters.select("person_id", "team_id", F.col("start_date").alias("_start"), F.coalesce("end_date", as_of).alias("_stop"))
+    if "status_code" in rosters.columns:
+        rosters = rosters.where("status_code <> 'RA'")
+    ranks = [F.col(c).alias(f"_{c}") for c in ("status_date", "roster_sk") if c in rosters.columns]
+    other = rosters.select("person_id", "team_id", F.col("start_date").alias("_start"), F.coalesce("end_date", as_of).alias("_stop"), *ranks)
     rows = overlap_join(left, other, ["person_id"], ("il_place_date", "_end"), ("_start", "_stop"))
     start, end = clip(F.col("il_place_date"), F.col("_end"), F.col("_start"), F.col("_stop"))
     rows = rows.withColumns({"team_id": F.coalesce("team_id", "il_place_team"), "start_date": start, "end_date": end})
-    key = ["person_id", "team_id", "il_place_date", "start_date", "end_date"]
-    one = keep_first(rows, key, [F.col("_start").asc_nulls_last(), F.col("_stop").asc_nulls_last(), F.col("il_place_trans_id").asc()])
-    return one.drop("_end", "_start", "_stop")
+    key = ["person_id", "injury_span_sk" if "injury_span_sk" in spans.columns else "il_place_date", "team_id", "start_date", "end_date"]
+    latest = [F.col(f"_{c}").desc_nulls_last() for c in ("status_date", "roster_sk") if c in rosters.columns]
+    one = keep_first(rows, key, [*latest, F.col("_start").asc_nulls_last(), F.col("_stop").asc_nulls_last(), F.col("il_place_trans_id").asc()])
+    return one.drop("_end", "_start", "_stop", "_status_date", "_roster_sk")
 
 
 def by_year(spans: DataFrame, start: str = "start_date", end: str = "end_date", season: str = "season") -> DataFrame:
@@ -201,14 +208,43 @@ def salary_by_season(salary: DataFrame, minimum: DataFrame) -> DataFrame:
     return rows.withColumn("salary", F.when(F.col("salary") < F.col("min_salary"), F.col("min_salary")).otherwise(F.col("salary"))).drop("min_salary")
 
 
-def projected_value(projections: DataFrame) -> DataFrame:
-    """war_per_162 of each person and season; a pitcher's games scale with the share of starts, a batter's default to plate appearances."""
+def clean_projections(projections: DataFrame) -> DataFrame:
+    """At most 700 plate appearances; games that are missing from plate appearances, 4.4 a game."""
     pa = F.when(F.col("pa") > 700, 700).otherwise(F.col("pa"))
-    games = F.when(F.col("games").isNull(), F.round(pa / 4.4, 0)).otherwise(F.col("games"))
-    share = F.try_divide(F.col("games_started"), F.col("games"))
-    scale = F.when((F.col("position") == "pitcher") & (F.col("games_started") > 1), 33 * share + 65 * (1 - share)).otherwise(games)
-    rows = projections.withColumn("_per", F.try_divide(F.col("war"), scale) * 162)
-    return rows.groupBy("person_id", "season").agg(F.sum("_per").alias("war_per_162"))
+    return projections.withColumns({"pa": pa, "games": F.coalesce("games", F.round(F.col("pa") / 4.4, 0))})
+
+
+def full_season_games(position: Column, games: Column, started: Column) -> Column:
+    """Games of a full season in a role: 162 for a position player, 33 starts, 65 in relief, a blend by the share of starts; else the games given."""
+    share = F.try_divide(started, games)
+    pitcher = position == "pitcher"
+    return (
+        F.when(games > 162, 162)
+        .when(position == "position player", 162)
+        .when(pitcher & (started == games) & (started < 33), 33)
+        .when(pitcher & (started == 0) & (games < 65), 65)
+        .when(pitcher & (started > 1), F.round(33 * share + 65 * (1 - share), 0))
+        .otherwise(games)
+    )
+
+
+def fits_position(listed: Column, projected: Column) -> Column:
+    """Whether a projection is of the role that a player is listed in; two-way players have both."""
+    return ((listed == "P") & (projected == "pitcher")) | ((listed != "P") & (projected == "position player")) | (listed == "TWP")
+
+
+def projected_value(projections: DataFrame, players: DataFrame) -> DataFrame:
+    """Sums of each person and season over their roles, and war_per_162: the value by game times the games of a full season.
+
+    ``players`` has person_id and primaryposition_abbreviation; projections of other people, or of a role that isn't theirs, don't count.
+    """
+    listed = players.select("person_id", "primaryposition_abbreviation")
+    rows = clean_projections(projections).join(listed, "person_id").where(fits_position(F.col("primaryposition_abbreviation"), F.col("position")))
+    full = full_season_games(F.col("position"), F.col("games"), F.col("games_started"))
+    rows = rows.withColumns({"full_season_games": full, "_per_game": F.try_divide("war", "games")})
+    sums = [F.sum(c).alias(c) for c in ("pa", "games", "games_started", "war")]
+    per_162 = F.sum(F.col("_per_game") * F.col("full_season_games")).alias("war_per_162")
+    return rows.groupBy("person_id", "season").agg(F.max("position").alias("position"), *sums, F.sum("_per_game").alias("war_per_g"), F.sum("full_season_games").alias("full_season_games"), per_162)
 
 
 def span_totals(rows: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spanweave.functions import scalars as S
 from spanweave.functions.extraction import first_by_priority, mentions
-from spanweave.operators.schemas import align, apply_types, flatten, infer_types
+from spanweave.operators.schemas import flatten
 from spanweave.operators.tables import apply_overrides, upsert_coalesce, upsert_replace
 from spanweave.plans.catalog import register, table
 from spanweave.sources.landed import csv_export_url, links, table_rows
@@ -85,15 +85,14 @@ def name_normalize(spark, sf_dir):
 @register(
     "regex_scrub",
     r"""
-    SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(lower(text), ''), '\b(?:the|of|and|was)\b', '', 'g'), '[0-9]+', '', 'g'), '[^a-z \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g')) AS scrubbed
-    FROM (SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents WHERE lang = 'en')
+    SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(' ' || regexp_replace(t, '[^a-z0-9]+', '  ', 'g') || ' ', ' (?:the|of|and|was) ', ' ', 'g'), '[0-9]+', '', 'g'), ' +', ' ', 'g')) AS scrubbed
+    FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
     """,
 )
 def regex_scrub(spark, sf_dir):
-    text = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    out = S.without_words(F.coalesce(F.lower(text), F.lit("")), ["the", "of", "and", "was"])
-    out = F.regexp_replace(F.regexp_replace(out, "[0-9]+", ""), "[^a-z \\t\\r\\n]", "")
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", S.squeeze(out).alias("scrubbed"))
+    text = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    out = S.without_words(F.regexp_replace(text, "[^a-z0-9]+", " "), ["the", "of", "and", "was"])
+    return table(spark, sf_dir, "documents").select("doc_id", S.squeeze(F.regexp_replace(out, "[0-9]+", "")).alias("scrubbed"))
 
 
 _TERMS = ["idiot", "moron", "trash", "licensed under the apache license", "licensed", "apache", "license"]
@@ -235,15 +234,6 @@ def json_flatten(spark, sf_dir):
     return flatten(rows)
 
 
-@register("schema_infer_align")
-def schema_infer_align(spark, sf_dir):
-    """Types found in landed text, then brought into the stored columns."""
-    nation = table(spark, sf_dir, "nation")
-    text = nation.select(*(F.col(c).cast("string") for c in nation.columns), F.lit("2024-01-02").alias("landed"), F.lit("yes").alias("seen"), F.lit(None).cast("string").alias("nothing"))
-    typed = apply_types(text, infer_types(text))
-    return align(typed, nation.schema)
-
-
 @register(
     "link_extract",
     r"""

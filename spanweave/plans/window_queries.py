@@ -145,7 +145,7 @@ def lag_gap_days(spark, sf_dir):
     WITH v AS (SELECT event_id, user_id, CAST(ts AS DATE) AS d FROM events WHERE event_type = 'view'),
     e AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS hit FROM events WHERE event_type = 'error'),
     n AS (SELECT v.*, e.hit FROM v ASOF LEFT JOIN e ON v.user_id = e.user_id AND v.d <= e.hit)
-    SELECT event_id, user_id, hit, hit IS NOT NULL AND row_number() OVER (PARTITION BY user_id, hit ORDER BY d DESC, event_id DESC) = 1 AS last_before,
+    SELECT event_id, user_id, CASE WHEN hit - d <= 30 THEN hit END AS hit, hit IS NOT NULL AND hit - d <= 30 AND row_number() OVER (PARTITION BY user_id, hit ORDER BY d DESC, event_id DESC) = 1 AS last_before,
            coalesce(hit - d <= 7, false) AS within_7d, coalesce(hit - d <= 30, false) AS within_30d FROM n
     """,
 )
@@ -263,7 +263,7 @@ def team_game_numbers(spark, sf_dir):
     "games_in_span",
     f"""
     WITH {_AS_GAMES}, slices AS (SELECT o_orderkey AS span, CAST(o_custkey % 7 AS BIGINT) AS team_id, CAST(year(o_orderdate) AS INTEGER) AS season,
-        CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + 10 AS b FROM orders WHERE o_orderpriority LIKE '1%')
+        CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + 10 AS b FROM orders)
     SELECT span, CAST(count(DISTINCT gamepk) AS BIGINT) AS games_missed FROM slices s JOIN played p ON s.team_id = p.team_id AND s.season = p.season AND gamedate > a AND gamedate <= b
     WHERE gametype = 'F' GROUP BY 1
     """,
@@ -272,7 +272,7 @@ def games_in_span(spark, sf_dir):
     from spanweave.plans.spans import games_missed
 
     day = F.to_date("o_orderdate")
-    slices = table(spark, sf_dir, "orders").where("o_orderpriority LIKE '1%'").select(
+    slices = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("span"), (F.col("o_custkey") % 7).alias("team_id"), F.year("o_orderdate").alias("season"), day.alias("start_date"), F.date_add(day, 10).alias("end_date")
     )
     return games_missed(slices, _games(spark, sf_dir)).select("span", "games_missed")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanweave.functions.scalars import money, without_initial
 from spanweave.operators.schemas import drop_empty_columns, flatten
 
 
@@ -86,6 +87,19 @@ def payroll_sheet(df: DataFrame, season: int) -> DataFrame:
     return by_ordinal(df, (0, 5) if season <= 2019 else (0, 12), ("player", "salary")).withColumn("season", F.lit(season))
 
 
+def payroll_rows(df: DataFrame, season: int, team: str) -> DataFrame:
+    """A team's payroll sheet as player, salary, season and team: rows of 'Last, First' without digits, names turned, salaries as whole dollars."""
+    rows = payroll_sheet(df, season).where(F.col("player").isNotNull() & ~F.col("player").rlike("[0-9]") & F.col("player").contains(","))
+    turned = F.array_join(F.reverse(F.split(F.replace(F.col("player"), F.lit("*"), F.lit("")), ", ")), " ")
+    name = without_initial(F.replace(turned, F.lit("  "), F.lit(" ")))
+    return rows.select(name.alias("player"), money(F.col("salary")).alias("salary"), "season", F.lit(team).alias("team"))
+
+
+def read_seed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A small CSV of fixed rows with a header, typed by a schema; a value that doesn't fit is an error."""
+    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
 def links(html: Column) -> Column:
     """href and text of every link of a page, as an array of structs."""
     whole = F.regexp_extract_all(html, F.lit(r"(?is)(<a\s[^>]*href\s*=\s*[\"'][^\"']*[\"'][^>]*>.*?</a>)"), F.lit(1))
@@ -115,20 +129,31 @@ def yearly_links(pages: DataFrame, html: str, keyword: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*keys, "year", F.col("_a.href").alias("href"))
 
 
-def csv_export_url(url: Column) -> Column:
-    """The CSV export of a shared sheet's address: output=html becomes csv, a file or edit link becomes its export, others stay."""
-    sheet = F.regexp_extract(url, r"/spreadsheets/d/([A-Za-z0-9_-]+)", 1)
-    drive = F.regexp_extract(url, r"/file/d/([A-Za-z0-9_-]+)", 1)
-    gid = F.regexp_extract(url, r"[?&#]gid=(\d+)", 1)
-    part = F.when(gid != "", F.concat(F.lit("&gid="), gid)).otherwise("")
-    base = F.regexp_extract(url, r"^(https?://[^/]+)", 1)
-    return (
-        F.when(url.contains("output=html"), F.regexp_replace(url, "output=html", "output=csv"))
-        .when(url.contains("/pubhtml"), F.concat(F.regexp_replace(url, r"/pubhtml.*$", "/pub?output=csv"), part))
-        .when((sheet != "") & (sheet != "e"), F.concat(base, F.lit("/spreadsheets/d/"), sheet, F.lit("/export?format=csv"), part))
-        .when(drive != "", F.concat(base, F.lit("/uc?export=download&id="), drive))
-        .otherwise(url)
-    )
+def csv_export_url(url: Column, gid_of_page: Column | None = None) -> Column:
+    """The CSV export of a shared sheet's address; other addresses stay.
+
+    A published page needs the number of its sheet, which stands in the page itself: ``gid_of_page``, if known.
+    """
+    url = F.trim(url)
+    drive = F.regexp_extract(url, r"drive\.google\.com/(?:open\?id=|file/d/)([A-Za-z0-9_-]+)", 1)
+    found = F.when(drive != "", F.concat(F.lit("https://docs.google.com/spreadsheets/d/"), drive, F.lit("/edit"))).otherwise(url)
+    published = F.concat(F.split_part(F.replace(found, F.lit("/pubhtml"), F.lit("/pub")), F.lit("?"), F.lit(1)), F.lit("?output=csv"))
+    if gid_of_page is not None:
+        published = F.concat(published, F.coalesce(F.concat(F.lit("&gid="), gid_of_page.cast("string")), F.lit("")))
+    shown = F.replace(found, F.lit("output=html"), F.lit("output=csv"))
+    sheet = F.regexp_extract(shown, r"/spreadsheets/(?:u/\d+/)?d/([A-Za-z0-9_-]+)", 1)
+    query, fragment = F.regexp_extract(shown, r"\?(?:[^#]*&)?gid=([^&#]+)", 1), F.regexp_extract(shown, r"#.*?gid=(\d+)", 1)
+    gid = F.when(query != "", query).otherwise(fragment)
+    export = F.concat(F.lit("https://docs.google.com/spreadsheets/d/"), sheet, F.lit("/export?format=csv"), F.when(gid != "", F.concat(F.lit("&gid="), gid)).otherwise(""))
+    done = url.contains("/export?format=csv") | url.contains("/pub?output=csv")
+    return F.when(done, url).when(found.contains("/pubhtml"), published).when(sheet != "", export).otherwise(shown)
+
+
+def candidate_urls(source: Column, export: Column) -> Column:
+    """Addresses to try in turn: the export, the same without its sheet number, and the source as CSV; each once."""
+    plain = F.when(export.contains("/pub?output=csv&gid="), F.split_part(export, F.lit("&gid="), F.lit(1)))
+    shown = F.when(source.contains("output=html"), F.replace(source, F.lit("output=html"), F.lit("output=csv")))
+    return F.array_distinct(F.array_compact(F.array(export, plain, shown)))
 
 
 def first_readable(spark: SparkSession, paths: Iterable[str], read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:

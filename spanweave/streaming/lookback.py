@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from spanweave.operators.tables import upsert_coalesce, upsert_replace, write_version
+from spanweave.operators.tables import table_exists, upsert_coalesce, upsert_replace, write_version
 from spanweave.operators.windows import keep_first
 
 
 def latest_in_lookback(stream: DataFrame, keys: Sequence[str], ts: str, days: int = 7) -> DataFrame:
-    """One row of each key among those not more than some days late."""
-    return stream.withWatermark(ts, f"{days} days").dropDuplicatesWithinWatermark(list(keys))
+    """The latest row of each key and period of so many days, of rows not more than so many days late.
+
+    In update mode a later row of the same key and period comes out anew, for a merge by key to take it.
+    """
+    newest = F.max_by(F.struct(*stream.columns), F.struct(ts, *(c for c in stream.columns if c != ts))).alias("newest")
+    return stream.withWatermark(ts, f"{days} days").groupBy(*keys, F.window(ts, f"{days} days")).agg(newest).select("newest.*")
 
 
 def merge_into(stream: DataFrame, path: str, keys: Sequence[str], newest: str, checkpoint: str, coalesce: bool = True) -> DataStreamWriter:
@@ -23,8 +27,7 @@ def merge_into(stream: DataFrame, path: str, keys: Sequence[str], newest: str, c
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         fresh = keep_first(batch, keys, [F.col(newest).desc_nulls_last(), F.xxhash64(*batch.columns)])
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        if table_exists(spark, path):
             fresh = (upsert_coalesce if coalesce else upsert_replace)(spark.read.parquet(path), fresh, keys)
         write_version(fresh, path)
 

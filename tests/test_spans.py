@@ -106,9 +106,11 @@ def test_calendar_salary_and_projections(spark):
     paid = spark.createDataFrame([(1, 2021, 100), (1, 2021, 200), (2, 2021, 900_000), (None, 2021, 5)], "person_id long, season int, salary long")
     floor = spark.createDataFrame([(2021, 570_500)], "season int, min_salary int")
     assert sorted((r.person_id, r.salary) for r in s.salary_by_season(paid, floor).collect()) == [(1, 570_500), (2, 900_000)]
-    proj = spark.createDataFrame([(1, 2021, "batter", None, None, 880.0, 2.0), (2, 2021, "pitcher", 30, 30, None, 1.1), (3, 2021, "batter", 0, None, None, 1.0)], "person_id long, season int, position string, games long, games_started long, pa double, war double")
-    got = {r.person_id: r.war_per_162 for r in s.projected_value(proj).collect()}
-    assert got[1] == pytest.approx(2.0 / 159 * 162) and got[2] == pytest.approx(1.1 / 33 * 162) and got[3] is None
+    kinds = [(1, "position player", 700.0, None, None, 2.0), (2, "pitcher", None, 30.0, 30.0, 3.0), (3, "pitcher", None, 60.0, 0.0, 1.0), (4, "pitcher", None, 40.0, 10.0, 1.0), (5, "pitcher", None, 30.0, 1.0, 1.0), (6, "pitcher", None, 30.0, 30.0, 9.0)]
+    proj = spark.createDataFrame([(p, 2021, *x) for p, *x in kinds], "person_id long, season int, position string, pa double, games double, games_started double, war double")
+    listed = spark.createDataFrame([(1, "SS"), (2, "P"), (3, "P"), (4, "TWP"), (5, "P"), (6, "C")], "person_id long, primaryposition_abbreviation string")
+    got = {r.person_id: r.war_per_162 for r in s.projected_value(proj, listed).collect()}
+    assert got == pytest.approx({1: 2 / 159 * 162, 2: 3.3, 3: 65 / 60, 4: 57 / 40, 5: 1.0})  # the sixth isn't listed as a pitcher
 
 
 @pytest.mark.parametrize(
