@@ -96,9 +96,12 @@ def _shared(docs: DataFrame) -> DataFrame:
 
 
 def _passages(rows: DataFrame, min_words: int) -> DataFrame:
-    """(fp, part, doc_id, key, starts, hashes): the passages of each document by their least line. A fingerprint of many documents has parts."""
+    """(fp, part, salts, salt, known, doc_id, key, starts, hashes): the passages of each document by their least line; known: it has a doc_id.
 
-    def of_text(own: np.ndarray, fps: np.ndarray, parts: np.ndarray) -> Iterator[tuple]:
+    The passages of a fingerprint of many documents are dealt to parts by their hash, and the documents of each part to as many salts.
+    """
+
+    def of_text(key: int, own: np.ndarray, fps: np.ndarray, parts: np.ndarray) -> Iterator[tuple]:
         if len(own) < min_words:
             return
         lines, passages = W.grams(own, LINE_WORDS), W.grams(own, min_words)
@@ -113,39 +116,90 @@ def _passages(rows: DataFrame, min_words: int) -> DataFrame:
         ends = np.flatnonzero(np.append((np.diff(group) != 0) | (np.diff(part) != 0), True)) + 1 if len(where) else []
         a = 0
         for b in ends:
-            yield int(fps[group[a]].view(np.int64)), int(part[a]), where[a:b].astype("<i4").tobytes(), passages[where[a:b]].astype("<u8").tobytes()
+            salts = int(parts[group[a]])
+            yield int(fps[group[a]].view(np.int64)), int(part[a]), salts, key % salts, where[a:b].astype("<i4").tobytes(), passages[where[a:b]].astype("<u8").tobytes()
             a = b
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at, to in slices(frame["text"].tolist(), 1_000_000):
                 part, out = frame.iloc[at:to], []
-                for doc_id, key, own, fps in zip(part["doc_id"].tolist(), part["key"].tolist(), W.words(part["text"].tolist()).of_texts(), part["fps"], strict=True):
-                    known = np.array([f["fp"] for f in fps], np.int64).view(np.uint64), np.array([f["parts"] for f in fps])
-                    out += [(fp, p, None if pd.isna(doc_id) else int(doc_id), key, s, h) for fp, p, s, h in of_text(own, *known)]
-                found = pd.DataFrame(out, columns=["fp", "part", "doc_id", "key", "starts", "hashes"])
-                found["doc_id"] = found["doc_id"].astype("Int64")
-                yield found
+                for known, doc_id, key, own, fps in zip(part["known"].tolist(), part["doc_id"].tolist(), part["key"].tolist(), W.words(part["text"].tolist()).of_texts(), part["fps"], strict=True):
+                    shared = np.array([f["fp"] for f in fps], np.int64).view(np.uint64), np.array([f["parts"] for f in fps])
+                    out += [(*r[:4], known, doc_id, key, *r[4:]) for r in of_text(key, own, *shared)]
+                yield pd.DataFrame(out, columns=["fp", "part", "salts", "salt", "known", "doc_id", "key", "starts", "hashes"])
 
-    return rows.select("doc_id", "key", "text", "fps").mapInPandas(run, "fp long, part int, doc_id long, key long, starts binary, hashes binary")
+    texts = rows.select(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "key", "text", "fps")
+    return texts.mapInPandas(run, "fp long, part int, salts int, salt int, known boolean, doc_id long, key long, starts binary, hashes binary")
 
 
-def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
-    """(key, start, end): runs of passages that an earlier document has."""
+def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[list[tuple]]:
+    """Of each frame the rows, as (whether a group of fp, part and salt begins, that group, starts, hashes, the other columns)."""
+    group = None
+    for frame in frames:
+        out = []
+        for fp, part, salt, starts, hashes, *rest in zip(*(frame[c].tolist() for c in ("fp", "part", "salt", "starts", "hashes", *columns)), strict=True):
+            now = (fp, part, salt)
+            out.append((now != group, now, starts, np.frombuffer(hashes or b"", "<u8").tolist(), *rest))
+            group = now
+        yield out
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, first = None, {}
-        for frame in frames:
-            out = []
-            for fp, part, key, starts, hashes in zip(*(frame[c].tolist() for c in ("fp", "part", "key", "starts", "hashes")), strict=True):
-                if group != (fp, part):
-                    group, first = (fp, part), {}
-                where = [s for s, h in zip(np.frombuffer(starts, "<i4").tolist(), np.frombuffer(hashes, "<u8").tolist(), strict=True) if first.setdefault(h, key) != key]
-                out += [(key, *r) for r in union([(s, s + min_words) for s in where])]
-            yield pd.DataFrame(out, columns=["key", "start", "end"])
-
-    ordered = passages.repartition("fp", "part").sortWithinPartitions("fp", "part", F.col("doc_id").asc_nulls_first(), "key")
-    return ordered.mapInPandas(run, "key long, start int, end int")
+
+def _later(starts: bytes, hashes: list[int], first: dict[int, int], key: int, min_words: int) -> list[tuple[int, int]]:
+    """Runs of a document's passages whose first document is another one."""
+    return union([(s, s + min_words) for s, h in zip(np.frombuffer(starts, "<i4").tolist(), hashes, strict=True) if first.get(h, key) != key])
+
+
+def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
+    """(key, start, end): runs of passages that an earlier document has.
+
+    A group without salts is read once, by document. A salted one is read twice: first for each passage's first document under every
+    salt, of which the least is taken, then with these.
+    """
+
+    def once(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first: dict[int, int] = {}
+        for rows in _groups(frames, ["salts", "known", "doc_id", "key"]):
+            runs, firsts = [], []
+            for begins, (fp, part, _), starts, hashes, salts, known, doc_id, key in rows:
+                if begins:
+                    first = {}
+                fresh = dict.fromkeys(h for h in hashes if h not in first)
+                first |= dict.fromkeys(fresh, key)
+                if salts > 1:
+                    firsts += [(key, fp, part, salts, h, known, doc_id) for h in fresh]
+                else:
+                    runs += [(key, a, b) for a, b in _later(starts, hashes, first, key, min_words)]
+            yield pd.DataFrame(runs, columns=["key", "start", "end"]).assign(fp=None, part=None, salts=None, hash=None, known=None, doc_id=None)
+            out = pd.DataFrame(firsts, columns=["key", "fp", "part", "salts", "hash", "known", "doc_id"])
+            yield out.assign(start=None, end=None, hash=out["hash"].to_numpy(np.uint64).view(np.int64))
+
+    def again(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first: dict[int, int] = {}
+        for rows in _groups(frames, ["hash", "key"]):
+            runs = []
+            for begins, _, starts, hashes, own, key in rows:
+                if begins:
+                    first = {}
+                if starts is None:
+                    first[int(own) & (1 << 64) - 1] = key
+                else:
+                    runs += [(key, a, b) for a, b in _later(starts, hashes, first, key, min_words)]
+            yield pd.DataFrame(runs, columns=["key", "start", "end"])
+
+    place = ["fp", "part", "salt"]
+    passages = materialize(passages, "winnow-passages")
+    ordered = passages.repartition(*place).sortWithinPartitions(*place, "known", "doc_id", "key")
+    step = materialize(ordered.mapInPandas(once, "key long, start int, end int, fp long, part int, salts int, hash long, known boolean, doc_id long"), "winnow-first")
+    runs, firsts = step.where("hash IS NULL").select("key", "start", "end"), step.where("hash IS NOT NULL")
+    if firsts.isEmpty():
+        return runs
+    least = F.min(F.struct("known", "doc_id", "key"))
+    known = firsts.groupBy("fp", "part", "hash").agg(least["key"].alias("key"), F.max("salts").alias("salts"))
+    known = known.select("fp", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "hash", "key")
+    rows = known.unionByName(passages.where("salts > 1").select(*place, "starts", F.lit(0).cast("long").alias("hash"), "hashes", "key"), allowMissingColumns=True)
+    ordered = rows.repartition(*place).sortWithinPartitions(*place, F.col("starts").asc_nulls_first())
+    return runs.unionByName(ordered.mapInPandas(again, "key long, start int, end int"))
 
 
 def union(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
