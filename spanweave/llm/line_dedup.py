@@ -147,14 +147,14 @@ def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[list
 
 def _later(starts: bytes, hashes: list[int], first: dict[int, int], key: int, min_words: int) -> list[tuple[int, int]]:
     """Runs of a document's passages whose first document is another one."""
-    return union([(s, s + min_words) for s, h in zip(np.frombuffer(starts, "<i4").tolist(), hashes, strict=True) if first.get(h, key) != key])
+    return union([(s, s + min_words) for s, h in zip(np.frombuffer(starts, "<i4").tolist(), hashes, strict=True) if first[h] != key])
 
 
 def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
     """(key, start, end): runs of passages that an earlier document has.
 
     A group without salts is read once, by document. A salted one is read twice: first for each passage's first document under every
-    salt, of which the least is taken, then with these.
+    salt, of which the least is taken where there are several, then with these.
     """
 
     def once(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,8 +164,8 @@ def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
             for begins, (fp, part, _), starts, hashes, salts, known, doc_id, key in rows:
                 if begins:
                     first = {}
-                fresh = dict.fromkeys(h for h in hashes if h not in first)
-                first |= dict.fromkeys(fresh, key)
+                fresh = dict.fromkeys((h for h in hashes if h not in first), key)
+                first |= fresh
                 if salts > 1:
                     firsts += [(key, fp, part, salts, h, known, doc_id) for h in fresh]
                 else:
@@ -184,6 +184,7 @@ def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
                 if starts is None:
                     first[int(own) & (1 << 64) - 1] = key
                 else:
+                    first |= dict.fromkeys((h for h in hashes if h not in first), key)
                     runs += [(key, a, b) for a, b in _later(starts, hashes, first, key, min_words)]
             yield pd.DataFrame(runs, columns=["key", "start", "end"])
 
@@ -195,10 +196,11 @@ def _repeats(passages: DataFrame, min_words: int) -> DataFrame:
     if firsts.isEmpty():
         return runs
     least = F.min(F.struct("known", "doc_id", "key"))
-    known = firsts.groupBy("fp", "part", "hash").agg(least["key"].alias("key"), F.max("salts").alias("salts"))
+    # a passage of one salt alone is settled there
+    known = firsts.groupBy("fp", "part", "hash").agg(least["key"].alias("key"), F.max("salts").alias("salts"), F.count("*").alias("n")).where("n > 1")
     known = known.select("fp", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "hash", "key")
-    rows = known.unionByName(passages.where("salts > 1").select(*place, "starts", F.lit(0).cast("long").alias("hash"), "hashes", "key"), allowMissingColumns=True)
-    ordered = rows.repartition(*place).sortWithinPartitions(*place, F.col("starts").asc_nulls_first())
+    rows = known.unionByName(passages.where("salts > 1").select(*place, "starts", "known", "doc_id", F.lit(0).cast("long").alias("hash"), "hashes", "key"), allowMissingColumns=True)
+    ordered = rows.repartition(*place).sortWithinPartitions(*place, F.col("starts").isNotNull(), "known", "doc_id", "key")
     return runs.unionByName(ordered.mapInPandas(again, "key long, start int, end int"))
 
 
