@@ -44,7 +44,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", pack_sequences),
 ]
 
-#: A trained model, an SVD and a tokenizer are no SQL; the tests compare run() with the stages' own brute-force versions.
+#: A trained model, an SVD and a tokenizer are no SQL; the tests plant cases for every stage and compare pieces with the library's ids.
 ORACLE_SQL = None
 
 

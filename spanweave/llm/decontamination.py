@@ -27,7 +27,7 @@ from spanweave.llm import words as W
 from spanweave.llm.common import documents, materialize, slices
 
 QUERY = "op9_benchmark_decontamination"
-ORACLE_SQL = None  # an SVD is no SQL; tests compare findings with brute force over all windows
+ORACLE_SQL = None  # an SVD is no SQL; tests compare products and common subsequences with brute force, and findings with planted cases
 FEATURES = 1 << 17
 PASSAGE = 64
 STEP = 32
