@@ -107,10 +107,38 @@ def either_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.array_distinct(F.array(*keys)))).where(F.col(name).isNotNull())
 
 
-def count_between(spans: DataFrame, points: DataFrame, by: Sequence[str], start: str, end: str, at: str, what: str, name: str) -> DataFrame:
-    """Spans with the number of distinct ``what`` of points of their key in (start, end]; spans without any are left out."""
-    hit = spans.join(points, list(by)).where((F.col(at) > F.col(start)) & (F.col(at) <= F.col(end)))
-    return hit.groupBy(*spans.columns).agg(F.countDistinct(what).alias(name))
+def count_between(spans: DataFrame, points: DataFrame, by: Sequence[str], start: str, end: str, at: str, what: str, name: str, slice_days: int | None = None) -> DataFrame:
+    """Spans with the number of distinct ``what`` of points of their key in (start, end]; spans without any are left out, equal ones are one row.
+
+    No span meets all its points: one running count of a key's points gives those up to the end and up to the start. A ``what`` that
+    was there at an earlier time of the same span, too, is taken off again, by a join with those that have several times.
+    ``slice_days`` cuts keys that hold very many rows into slices of time, each counted apart and added up.
+    """
+    keys = list(by)
+    span = F.struct(*spans.columns).alias("_span")
+    spans, points = spans.dropna(subset=[*keys, start, end]), points.dropna(subset=[*keys, at, what])
+    before = F.lag(at).over(Window.partitionBy(*keys, what).orderBy(at))
+    seen = points.select(*keys, F.col(at).alias("_at"), before.alias("_before")).where("_before IS NULL OR _before < _at")
+    ends = F.inline(F.array(F.struct(F.col(start).alias("_at"), F.lit(-1).alias("_sign")), F.struct(F.col(end).alias("_at"), F.lit(1).alias("_sign"))))
+    edges = spans.select(*keys, span, ends).withColumn("_point", F.lit(0))
+    rows = edges.unionByName(seen.select(*keys, "_at", F.lit(0).alias("_sign"), F.lit(1).alias("_point")), allowMissingColumns=True)
+    group = list(keys)
+    if slice_days is not None:
+        rows = rows.withColumn("_slice", F.floor(F.unix_date(F.col("_at").cast("date")) / F.lit(slice_days)))
+        group.append("_slice")
+    up_to = Window.partitionBy(*group).orderBy("_at", F.col("_point").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = rows.withColumn("_n", F.sum("_point").over(up_to)).where("_sign <> 0")
+    if slice_days is not None:
+        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        carried = rows.groupBy(*group).agg(F.sum("_point").alias("_own")).select(*group, F.coalesce(F.sum("_own").over(earlier), F.lit(0)).alias("_carried"))
+        counted = counted.join(carried, group).withColumn("_n", F.col("_n") + F.col("_carried"))
+    counts = counted.select("_span", (F.col("_n") * F.col("_sign")).alias("_n"), (F.col("_sign") > 0).cast("int").alias("_ends"))
+    repeated = seen.where("_before IS NOT NULL")
+    again = spans.select(*keys, span).join(repeated, keys).where((F.col("_before") > F.col(f"_span.{start}")) & (F.col("_at") <= F.col(f"_span.{end}")))
+    counts = counts.unionByName(again.select("_span", F.lit(-1).cast("long").alias("_n"), F.lit(0).alias("_ends")))
+    # an equal span has its ends and its repeats as often as it stands there
+    total = counts.groupBy("_span").agg((F.sum("_n") / F.sum("_ends")).cast("long").alias(name))
+    return total.where(F.col(name) > 0).select("_span.*", name)
 
 
 def first_match(left: DataFrame, right: DataFrame, left_keys: Sequence[Column], right_keys: Sequence[Column], identity: Sequence[str], tie: Sequence[str]) -> DataFrame:

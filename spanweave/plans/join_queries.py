@@ -133,21 +133,48 @@ def year_slice_spans(spark, sf_dir):
     return rows.select("o_orderkey", "season", F.col("span_start").alias("start_date"), F.col("span_end").alias("end_date"))
 
 
-@register(
-    "range_count_between",
-    f"""
+_COUNTED = f"""
     WITH {_SPANS}
     SELECT s.o_orderkey, CAST(count(DISTINCT p.o_orderkey) AS BIGINT) AS n_orders
     FROM spans s JOIN orders p ON s.o_custkey = p.o_custkey AND CAST(p.o_orderdate AS DATE) > s.span_start AND CAST(p.o_orderdate AS DATE) <= s.span_end
     GROUP BY 1
-    """,
-)
-def range_count_between(spark, sf_dir):
+    """
+
+
+def _orders_within(spark, sf_dir, slice_days):
     points = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("at"), F.col("o_orderkey").alias("point_key"))
-    rows = count_between(_spans(spark, sf_dir), points, ["o_custkey"], "span_start", "span_end", "at", "point_key", "n_orders")
+    rows = count_between(_spans(spark, sf_dir), points, ["o_custkey"], "span_start", "span_end", "at", "point_key", "n_orders", slice_days)
     return rows.select("o_orderkey", "n_orders")
 
 
+@register("range_count_between", _COUNTED)
+def range_count_between(spark, sf_dir):
+    return _orders_within(spark, sf_dir, None)
+
+
+@register("range_count_sliced", _COUNTED)
+def range_count_sliced(spark, sf_dir):
+    return _orders_within(spark, sf_dir, 60)
+
+
+@register(
+    "range_count_repeated",
+    f"""
+    WITH {_SPANS}
+    SELECT s.o_orderkey, CAST(count(DISTINCT l.l_suppkey) AS BIGINT) AS n_suppliers
+    FROM spans s JOIN orders o ON s.o_custkey = o.o_custkey JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+        AND CAST(l.l_shipdate AS DATE) > s.span_start AND CAST(l.l_shipdate AS DATE) <= s.span_end
+    GROUP BY 1
+    """,
+)
+def range_count_repeated(spark, sf_dir):
+    """Suppliers of a customer's shipments in each span: many of them ship several times."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    points = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("at")).join(orders, "l_orderkey").drop("l_orderkey")
+    rows = count_between(_spans(spark, sf_dir), points, ["o_custkey"], "span_start", "span_end", "at", "l_suppkey", "n_suppliers")
+    return rows.select("o_orderkey", "n_suppliers")
+
+
 @register(
     "either_key_count",
     """
