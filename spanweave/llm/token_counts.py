@@ -29,6 +29,8 @@ LIMIT = 2048
 CHUNK_CHARS = 50_000
 OVERLAP_CHARS = 400
 WIDEN = 4
+#: Characters of chunks that a task hands on at a time.
+MAX_HELD_CHARS = 2_000_000
 
 _WORD_START = re.compile(r"(?<=[ \t\n\r])(?=[^ \t-\r])")
 
@@ -57,20 +59,27 @@ def _chunk_summary(path: str, text: str, head: int, tail: int) -> tuple[int, lis
 
 
 def _chunks(huge: DataFrame, chunk_chars: int) -> DataFrame:
-    """Chunk k of a text starts at k * chunk_chars and runs ``overlap`` characters into the next one."""
-    n = F.ceil((F.length("text") - F.col("overlap")) / F.lit(chunk_chars))
-    many = huge.withColumn("n_chunks", F.greatest(F.lit(1), F.when(F.col("overlap") >= F.length("text"), 1).otherwise(n)).cast("int"))
-    whole = F.col("n_chunks") == 1
-    return many.select("row", "overlap", "n_chunks", "text", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk")).select(
-        "row",
-        "overlap",
-        "n_chunks",
-        "chunk",
-        F.when(whole, F.col("text"))
-        .when(F.col("chunk") == F.col("n_chunks") - 1, F.expr(f"substring(text, chunk * {chunk_chars} + 1)"))
-        .otherwise(F.expr(f"substring(text, chunk * {chunk_chars} + 1, {chunk_chars} + overlap)"))
-        .alias("part"),
-    )
+    """Chunk k of a text starts at k * chunk_chars and runs ``overlap`` characters into the next one. A text is read once, not for each chunk."""
+
+    def of_text(text: str, overlap: int) -> Iterator[tuple[int, int, str]]:
+        n = max(1, -(-(len(text) - overlap) // chunk_chars))
+        for k in range(n):
+            yield n, k, text[k * chunk_chars : (k + 1) * chunk_chars + overlap if k < n - 1 else None]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["row", "overlap", "n_chunks", "chunk", "part"]
+        for frame in frames:
+            held, size = [], 0
+            for row, overlap, text in zip(frame["row"], frame["overlap"].tolist(), frame["text"], strict=True):
+                for n, k, part in of_text(text, overlap):
+                    held.append((row, overlap, n, k, part))
+                    size += len(part)
+                    if size > MAX_HELD_CHARS:
+                        yield pd.DataFrame(held, columns=columns)
+                        held, size = [], 0
+            yield pd.DataFrame(held, columns=columns)
+
+    return huge.select("row", "overlap", "text").mapInPandas(run, "row string, overlap int, n_chunks int, chunk int, part string")
 
 
 def _encode_chunks(chunks: DataFrame, path: str, chunk_chars: int) -> DataFrame:
