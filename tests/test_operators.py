@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 
 from spanweave.functions import scalars as S
 from spanweave.operators import aggregates, checks, facets, schemas, tables
-from spanweave.operators.joins import asof_join, overlap_join
+from spanweave.operators.joins import asof_join, count_between, overlap_join
 from spanweave.operators.windows import island_ids, keep_fewest_nulls
 from spanweave.plans.models import Model, Warehouse
 from spanweave.plans import outings, reports
@@ -250,3 +251,25 @@ def test_results_are_kept_for_a_while(spark):
         assert cache.get("a", lambda: built.append(1) or spark.range(3)).count() == 3
     cache.seconds = 0
     assert cache.get("a", lambda: built.append(1) or spark.range(4)).count() == 4 and len(built) == 2
+
+
+@pytest.mark.parametrize("slice_days", [None, 1, 3])
+def test_points_in_spans_equal_a_count_of_pairs(spark, slice_days):
+    rnd = random.Random(5)
+    spans = [(i, rnd.choice(["a", "a", "b", None]), a := rnd.randint(0, 12), a + rnd.randint(-2, 9)) for i in range(60)]
+    spans += [spans[0], (90, "a", None, 5), (91, "a", 1, None), (92, "none", 0, 12)]
+    points = [(rnd.choice(["a", "a", "b", None]), rnd.choice([*range(14), None]), rnd.choice([*range(9), None])) for _ in range(80)]
+
+    def day(c):
+        return F.date_add(F.lit("2024-01-01").cast("date"), F.col(c)).alias(c)
+
+    left = spark.createDataFrame(spans, "i int, k string, a int, b int").select("i", "k", day("a"), day("b"))
+    right = spark.createDataFrame(points, "k string, t int, x int").select("k", day("t"), "x")
+    got = count_between(left, right, ["k"], "a", "b", "t", "x", "n", slice_days)
+    assert got.columns == ["i", "k", "a", "b", "n"]
+    want = {}
+    for i, k, a, b in spans:
+        if None not in (k, a, b):
+            want[i] = len({x for q, t, x in points if q == k and t is not None and x is not None and a < t <= b})
+    assert sorted((r.i, r.n) for r in got.collect()) == sorted((i, n) for i, n in want.items() if n)
+    assert count_between(left, right.where(F.lit(False)), ["k"], "a", "b", "t", "x", "n", slice_days).count() == 0
