@@ -6,10 +6,12 @@ from spanweave.llm import (
     chat_format,
     decontamination,
     id_output,
+    importance,
     language_id,
     line_dedup,
     lm_scoring,
     packing,
+    periodic_runs,
     quality_rules,
     simhash,
     token_counts,
@@ -26,6 +28,8 @@ _MODULES = (
     chat_format,
     decontamination,
     quality_rules,
+    periodic_runs,
+    importance,
 )
 
 
