@@ -14,6 +14,7 @@ from spanweave.llm import (
     periodic_runs,
     quality_rules,
     simhash,
+    substring_dedup,
     token_counts,
 )
 
@@ -29,6 +30,7 @@ _MODULES = (
     decontamination,
     quality_rules,
     periodic_runs,
+    substring_dedup,
     importance,
 )
 
