@@ -3,14 +3,14 @@
 A text is compressed level by level: runs of one symbol become a symbol, then every pair of a left and a right symbol, sides being drawn by a bit of
 the symbols' names. A name is a hash of what it stands for, so equal runs and pairs have the same name in all tasks and documents without a dictionary that would
 have to be joined to all texts at every level. Of each symbol is kept which words decide that it stands there (``left`` to ``right``); equal words between
-them make equal symbols, whatever stands around. So in every window of ``span`` words the first symbol of the highest level that the window
-decides alone is the same wherever the window's words stand: its anchor.
+them make equal symbols, whatever stands around. So in every window of ``span`` words one high symbol that the window decides alone is the same
+wherever the window's words stand: its anchor, that with the greatest name.
 
 Three rounds of Spark, each on what the one before has left, settle which windows repeat:
 
 1. names of anchors are counted over all texts; those that stand once are done;
-2. of each shared anchor the windows that it has in one place, a span, are compared as a whole by a hash of their words;
-3. of anchors that also have spans of their own the windows are compared one by one.
+2. the windows that an anchor has in one place, a span, are compared as a whole by a hash of their words: where all spans of a name are equal, all repeat;
+3. of other names the windows are compared one by one.
 
 Copies of a whole text are worked on once and counted. A long text is cut into pieces that overlap by a window less a word, which changes no anchor.
 
@@ -20,7 +20,7 @@ changed; an empty table gives an empty result; other columns are kept.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +34,9 @@ from spanweave.llm.line_dedup import cut, union
 
 QUERY = "op12_substring_dedup"
 SPAN = 35
+#: Levels whose symbols of MIN_SIZE words or more are anchors; below, those of the highest level, where a window decides no such symbol.
+LOW, TOP = 4, 7
+MIN_SIZE = 5
 #: Window starts of one piece of a long text.
 PIECE = 100_000
 _RUN, _LEFT, _RIGHT, _BASE = (np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
@@ -98,10 +101,10 @@ def _pairs(x: Symbols, level: int) -> Symbols:
 
 
 def levels(words: np.ndarray, text: np.ndarray, span: int = SPAN) -> list[Symbols]:
-    """The words, and the symbols of each level, as long as so many words decide any."""
+    """The words, and the symbols of each level up to TOP, as long as so many words decide any."""
     at = np.arange(len(words))
     out = [Symbols(words, at, at + 1, at, at + 1, text)]
-    while len(words) and len(out) < 64:
+    while len(words) and len(out) <= TOP:
         now = _pairs(_runs(out[-1], words), len(out))
         if not (now.right - now.left <= span).any():
             break
@@ -109,18 +112,56 @@ def levels(words: np.ndarray, text: np.ndarray, span: int = SPAN) -> list[Symbol
     return out
 
 
+def _chosen(found: list[Symbols], windows: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window the symbol with the greatest name, of those of MIN_SIZE words or more that the window decides alone: its name, and a number; -1 where there is none.
+
+    A symbol is decided by the windows of an interval. Symbols are ranked, and the best rank over all intervals spreads from two halves of a power of two.
+    """
+    if not found:
+        return np.zeros(windows, np.uint64), np.full(windows, -1)
+    names, starts, ends, left, right = (np.concatenate([getattr(x, c) for x in found]) for c in ("names", "starts", "ends", "left", "right"))
+    good = np.flatnonzero((right - left <= span) & (left >= 0) & (ends - starts >= MIN_SIZE))
+    names, starts, low, high = names[good], starts[good], np.maximum(right[good] - span, 0), left[good]
+    order = np.argsort(-starts, kind="stable")  # of one name the first place is the best
+    order = order[np.argsort(names[order], kind="stable")]
+    names, starts, low, high = (x[order] for x in (names, starts, low, high))
+    rank = np.cumsum(np.append(True, (names[1:] != names[:-1]) | (np.diff(starts) != 0))) if len(names) else np.empty(0, np.int64)
+    width = np.frexp(high - low + 1)[1] - 1
+    best = np.zeros(windows, np.int64)
+    for k in range(int(span).bit_length() - 1, -1, -1):
+        if k + 1 < int(span).bit_length():  # what holds for 2 ** (k + 1) windows holds for both halves
+            half = best[: windows - (1 << k)].copy()
+            np.maximum(best[1 << k :], half, out=best[1 << k :])
+        at = np.flatnonzero(width == k)
+        if len(at):
+            new = np.zeros(windows, np.int64)
+            new[low[at]] = rank[at]  # of equal places the last, which is the best
+            np.maximum(best, new, out=best)
+            new[:] = 0
+            new[high[at] - (1 << k) + 1] = rank[at]
+            np.maximum(best, new, out=best)
+    of_rank = names[np.searchsorted(rank, np.arange(1, rank[-1] + 1))] if len(rank) else names
+    return np.append(np.uint64(0), of_rank)[best], best - 1
+
+
 class Spans(NamedTuple):
-    """Neighbouring windows with one anchor: number of the text, first word there, how many windows, the anchor's name, a hash of their words; and of each window."""
+    """Neighbouring windows with one anchor: number of the text, first word there, how many windows, the anchor's name, and a hash of their words."""
 
     text: np.ndarray
     start: np.ndarray
     size: np.ndarray
     names: np.ndarray
     hashes: np.ndarray
-    windows: np.ndarray
 
 
-def _pieces(texts: list[np.ndarray], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_of(words: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that hashes stretches of words, of equal lengths or not."""
+    sums = np.append(np.uint64(0), np.cumsum(words * np.cumprod(np.full(len(words), _BASE))))
+    back = np.cumprod(np.full(len(words), _INVERSE))
+    return lambda a, b: W.mix((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
+
+
+def _pieces(texts: list[np.ndarray], span: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """The words of all texts with a window, in pieces; of each piece its text and its first word there."""
     owner, first, parts = [], [], []
     for k, own in enumerate(texts):
@@ -136,35 +177,29 @@ def spans(texts: list[np.ndarray], span: int = SPAN) -> Spans:
     parts, owner, first = _pieces(texts, span)
     if not parts:
         none = np.empty(0, np.int64)
-        return Spans(none, none, none, *3 * [none.astype(np.uint64)])
+        return Spans(none, none, none, *2 * [none.astype(np.uint64)])
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     words, piece = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
     begins = np.cumsum(sizes) - sizes
     found = levels(words, piece, span)
     windows = np.flatnonzero(np.arange(len(words)) + span <= np.repeat(begins + sizes, sizes))
-    names, anchor = np.empty(len(words), np.uint64), np.full(len(words), -1, np.int64)
-    todo = windows
-    for k in range(len(found) - 1, -1, -1):
+    names, anchor = _chosen(found[LOW:], len(words), span)
+    todo = windows[anchor[windows] < 0]
+    for k in range(min(LOW, len(found)) - 1, -1, -1):
+        if not len(todo):
+            break
         at = np.searchsorted(found[k].left, todo)
         good = at < len(found[k].left)
         good[good] = found[k].right[at[good]] <= todo[good] + span
         done, at = todo[good], at[good]
-        names[done], anchor[done] = found[k].names[at], at * 64 + k
+        names[done], anchor[done] = found[k].names[at], -2 - (at * 64 + k)
         todo = todo[~good]
-        if not len(todo):
-            break
     own = anchor[windows]
     head = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (np.diff(windows) != 1)))
     size = np.diff(np.append(head, len(windows)))
     start = windows[head]
-    sums = np.append(np.uint64(0), np.cumsum(words * np.cumprod(np.full(len(words), _BASE))))
-    back = np.cumprod(np.full(len(words), _INVERSE))
-
-    def of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (sums[b] - sums[a]) * back[a]
-
-    hashes = W.mix(of(start, start + size + span - 1) + size.astype(np.uint64))
-    return Spans(owner[piece[start]], start - begins[piece[start]] + first[piece[start]], size, names[start], hashes, W.mix(of(windows, windows + span)))
+    hashes = _hash_of(words)(start, start + size + span - 1)
+    return Spans(owner[piece[start]], start - begins[piece[start]] + first[piece[start]], size, names[start], hashes)
 
 
 def _node(text: Column) -> tuple[Column, Column]:
@@ -194,8 +229,18 @@ def _anchors(texts: DataFrame, span: int) -> DataFrame:
     return texts.select("a", "text").mapInPandas(run, "name long, a long, n int")
 
 
+def _candidates(docs: DataFrame, span: int) -> DataFrame:
+    """(id, a, b, text, copies, names): each text with anchors that stand elsewhere, too, and which these are. A written table."""
+    texts = _texts(docs)
+    rows = materialize(_anchors(texts, span), "anchors")
+    shared = rows.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
+    hits = materialize(rows.join(shared, "name", "left_semi").groupBy("a").agg(F.collect_set("name").alias("names")), "anchor-hits")
+    whole = with_rows_of(texts, hits.select("a"), "a").groupBy("a", "b").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return materialize(whole.join(hits, "a").withColumn("id", F.monotonically_increasing_id()), "anchor-texts")
+
+
 def _shared_spans(texts: DataFrame, span: int) -> DataFrame:
-    """(name, hash, a, b, copies, start, windows) of the spans of (a, b, text, copies, names) whose anchor is among the names."""
+    """(name, hash, id, copies, start, size) of the spans of candidates whose anchor is among the names."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -203,68 +248,58 @@ def _shared_spans(texts: DataFrame, span: int) -> DataFrame:
             for a, b in slices(own, 1_000_000):
                 part = frame.iloc[a:b]
                 found = spans(W.words(own[a:b]).of_texts(), span)
-                first = np.append(0, np.cumsum(found.size))
-                known = [np.sort(np.asarray(x, np.int64)) for x in part["names"]]
-                bounds = np.searchsorted(found.text, np.arange(len(known) + 1))
-                keep = np.concatenate([np.isin(found.names[i:j].view(np.int64), x) for i, j, x in zip(bounds[:-1], bounds[1:], known, strict=True)])
-                at = np.flatnonzero(keep)
-                text, raw = found.text[at], found.windows.astype("<u8").tobytes()
-                yield pd.DataFrame(
-                    {
-                        "name": found.names[at].view(np.int64),
-                        "hash": found.hashes[at].view(np.int64),
-                        **{c: part[c].to_numpy()[text] for c in ("a", "b", "copies")},
-                        "start": found.start[at],
-                        "windows": [raw[8 * i : 8 * j] for i, j in zip(first[at].tolist(), first[at + 1].tolist(), strict=True)],
-                    }
-                )
-
-    return texts.select("a", "b", "copies", "text", "names").mapInPandas(run, "name long, hash long, a long, b long, copies long, start long, windows binary")
-
-
-def _each_window(rows: DataFrame) -> DataFrame:
-    """(name, window, a, b, copies, start, own) for each window of spans."""
+                bounds = np.searchsorted(found.text, np.arange(len(part) + 1))
+                keep = [np.isin(found.names[i:j].view(np.int64), np.asarray(x, np.int64)) for i, j, x in zip(bounds[:-1], bounds[1:], part["names"], strict=True)]
+                at = np.flatnonzero(np.concatenate(keep))
+                of = {c: part[c].to_numpy()[found.text[at]] for c in ("id", "copies")}
+                yield pd.DataFrame({"name": found.names[at].view(np.int64), "hash": found.hashes[at].view(np.int64), **of, "start": found.start[at], "size": found.size[at]})
+
+    return texts.select("id", "copies", "text", "names").mapInPandas(run, "name long, hash long, id long, copies int, start int, size short")
+
+
+def _each_window(texts: DataFrame, span: int) -> DataFrame:
+    """(name, window, id, copies, start) for each window of the ``spans`` of (id, copies, text, spans); window is a hash of its words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for i in range(0, len(frame), 10_000):
-                part = frame.iloc[i : i + 10_000]
-                size = part["windows"].str.len().to_numpy(np.int64) // 8
-                turn = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                out = {c: np.repeat(part[c].to_numpy(), size) for c in ("name", "a", "b", "copies", "own")}
-                yield pd.DataFrame(out | {"start": np.repeat(part["start"].to_numpy(), size) + turn, "window": np.frombuffer(b"".join(part["windows"]), "<i8")})
+            own = frame["text"].tolist()
+            for a, b in slices(own, 1_000_000):
+                part = frame.iloc[a:b]
+                for key, copies, listed, words in zip(part["id"].tolist(), part["copies"].tolist(), part["spans"], W.words(own[a:b]).of_texts(), strict=True):
+                    start, size, name = (np.array([x[c] for x in listed], np.int64) for c in ("start", "size", "name"))
+                    turn = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                    at = np.repeat(start, size) + turn
+                    window = _hash_of(words)(at, at + span)
+                    yield pd.DataFrame({"name": np.repeat(name, size), "window": window.view(np.int64), "id": key, "copies": copies, "start": at})
 
-    return rows.select("name", "a", "b", "copies", "start", "own", "windows").mapInPandas(run, "name long, a long, b long, copies long, own boolean, start long, window long")
+    return texts.select("id", "copies", "text", "spans").mapInPandas(run, "name long, window long, id long, copies int, start int")
 
 
-def repeated_windows(docs: DataFrame, span: int = SPAN) -> DataFrame:
-    """(a, b, runs): of each text with windows that stand elsewhere, too, the stretches of words that these cover, as (start, end).
+def repeated_windows(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """(id, a, b, text, copies, names) of texts that may have windows that stand elsewhere, too, and (id, runs): the stretches of words that such
+    windows cover, as (start, end), of those that have any.
 
     a and b are two hashes that name the text. Windows of one document count as well as those of several.
     """
     if span < 2:
         raise ValueError("a window has two words at least")
-    texts = _texts(docs)
-    rows = materialize(_anchors(texts, span), "anchors")
-    shared = rows.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
-    hits = materialize(rows.join(shared, "name", "left_semi").groupBy("a").agg(F.collect_set("name").alias("names")), "anchor-hits")
-    whole = with_rows_of(texts, hits.select("a"), "a").groupBy("a", "b").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    found = materialize(_shared_spans(whole.join(hits, "a"), span), "anchor-spans")
-    seen = found.groupBy("name", "hash").agg(F.sum("copies").alias("n"))
-    counted = materialize(found.join(seen, ["name", "hash"]).withColumn("own", F.col("n") == 1).drop("n", "hash"), "anchor-spans-counted")
-    size = F.length("windows") / 8
-    settled = counted.where("NOT own").select("a", "b", "start", (F.col("start") + size + span - 1).cast("long").alias("end"))
-    windows = _each_window(counted.join(counted.where("own").select("name").distinct(), "name", "left_semi"))
+    texts = _candidates(docs, span)
+    found = materialize(_shared_spans(texts, span), "anchor-spans")
+    seen = found.groupBy("name").agg(F.sum("copies").alias("n"), (F.min("hash") == F.max("hash")).alias("same")).where("n > 1")
+    named = materialize(found.join(seen, "name").select("name", "id", "start", "size", "same"), "anchor-spans-named")
+    settled = named.where("same").select("id", "start", (F.col("start") + F.col("size") + (span - 1)).alias("end"))
+    mixed = named.where("NOT same").groupBy("id").agg(F.collect_list(F.struct("start", "size", "name")).alias("spans"))
+    windows = materialize(_each_window(texts.join(mixed, "id"), span), "anchor-windows")
     twice = windows.groupBy("name", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("name", "window")
-    single = windows.where("own").join(twice, ["name", "window"], "left_semi").select("a", "b", "start", (F.col("start") + span).alias("end"))
+    single = windows.join(twice, ["name", "window"], "left_semi").select("id", "start", (F.col("start") + span).alias("end"))
 
     def together(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             joined = [[{"start": a, "end": b} for a, b in union([(r["start"], r["end"]) for r in own])] for own in frame["runs"]]
-            yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "runs": joined})
+            yield pd.DataFrame({"id": frame["id"], "runs": joined})
 
-    runs = settled.unionByName(single).groupBy("a", "b").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    return runs.mapInPandas(together, "a long, b long, runs array<struct<start:long,end:long>>")
+    runs = settled.unionByName(single).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    return texts, runs.mapInPandas(together, "id long, runs array<struct<start:int,end:int>>")
 
 
 def _left(docs: DataFrame, span: int) -> DataFrame:
@@ -278,9 +313,8 @@ def _left(docs: DataFrame, span: int) -> DataFrame:
                 left = [cut(t, own) for t, own in zip(part["text"], runs, strict=True)]
                 yield part[["a", "b"]].assign(n_removed=[sum(e - s for s, e in own) for own in runs], left=left)
 
-    runs = materialize(repeated_windows(docs, span), "repeated-windows")
-    whole = with_rows_of(_texts(docs), runs.select("a"), "a").dropDuplicates(["a", "b"])
-    return materialize(whole.join(runs, ["a", "b"]).select("a", "b", "text", "runs").mapInPandas(run, "a long, b long, n_removed long, left string"), "without-repeats")
+    texts, runs = repeated_windows(docs, span)
+    return materialize(texts.select("id", "a", "b", "text").join(runs, "id").select("a", "b", "text", "runs").mapInPandas(run, "a long, b long, n_removed long, left string"), "without-repeats")
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
