@@ -9,8 +9,8 @@ wherever the window's words stand: its anchor, that with the greatest name.
 Three rounds of Spark, each on what the one before has left, settle which windows repeat:
 
 1. names of anchors are counted over all texts; those that stand once are done;
-2. the windows that an anchor has in one place, a span, are compared as a whole by a hash of their words: where all spans of a name are equal, all repeat;
-3. of other names the windows are compared one by one.
+2. the windows that an anchor has in one place, a span, are compared as a whole by a hash of their words; equal spans repeat;
+3. the windows of a span that has no equal are compared one by one, with each other and with those of one of each equal spans of the same anchor.
 
 Copies of a whole text are worked on once and counted. A long text is cut into pieces that overlap by a window less a word, which changes no anchor.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
 from spanweave.llm.common import documents, fresh, materialize, slices, with_rows_of
-from spanweave.llm.line_dedup import cut, union
+from spanweave.llm.line_dedup import cut
 
 QUERY = "op12_substring_dedup"
 SPAN = 35
@@ -234,7 +234,7 @@ def _candidates(docs: DataFrame, span: int) -> DataFrame:
     texts = _texts(docs)
     rows = materialize(_anchors(texts, span), "anchors")
     shared = rows.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
-    hits = materialize(rows.join(shared, "name", "left_semi").groupBy("a").agg(F.collect_set("name").alias("names")), "anchor-hits")
+    hits = materialize(with_rows_of(rows, shared, "name").groupBy("a").agg(F.collect_set("name").alias("names")), "anchor-hits")
     whole = with_rows_of(texts, hits.select("a"), "a").groupBy("a", "b").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     return materialize(whole.join(hits, "a").withColumn("id", F.monotonically_increasing_id()), "anchor-texts")
 
@@ -258,26 +258,28 @@ def _shared_spans(texts: DataFrame, span: int) -> DataFrame:
 
 
 def _each_window(texts: DataFrame, span: int) -> DataFrame:
-    """(name, window, id, copies, start) for each window of the ``spans`` of (id, copies, text, spans); window is a hash of its words."""
+    """(name, window, id, start, own, n) for each window of the spans of (id, text, starts, sizes, names, own); window is a hash of its words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             own = frame["text"].tolist()
             for a, b in slices(own, 1_000_000):
-                part = frame.iloc[a:b]
-                for key, copies, listed, words in zip(part["id"].tolist(), part["copies"].tolist(), part["spans"], W.words(own[a:b]).of_texts(), strict=True):
-                    start, size, name = (np.array([x[c] for x in listed], np.int64) for c in ("start", "size", "name"))
-                    turn = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                    at = np.repeat(start, size) + turn
-                    window = _hash_of(words)(at, at + span)
-                    yield pd.DataFrame({"name": np.repeat(name, size), "window": window.view(np.int64), "id": key, "copies": copies, "start": at})
+                part, found = frame.iloc[a:b], W.words(own[a:b])
+                start, size, name, alone = (np.concatenate(part[c].tolist()) for c in ("starts", "sizes", "names", "own"))
+                text = np.repeat(np.arange(len(part)), part["starts"].str.len())
+                turn = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                each = np.repeat(np.arange(len(size)), size)
+                at = (start + (np.cumsum(found.counts) - found.counts)[text])[each] + turn
+                window = _hash_of(found.hashes)(at, at + span)
+                alone = alone.astype(bool)[each]
+                yield pd.DataFrame({"name": name[each], "window": window.view(np.int64), "id": part["id"].to_numpy()[text[each]], "start": start[each] + turn, "own": alone, "n": 2 - alone})
 
-    return texts.select("id", "copies", "text", "spans").mapInPandas(run, "name long, window long, id long, copies int, start int")
+    return texts.mapInPandas(run, "name long, window long, id long, start int, own boolean, n short")
 
 
 def repeated_windows(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
-    """(id, a, b, text, copies, names) of texts that may have windows that stand elsewhere, too, and (id, runs): the stretches of words that such
-    windows cover, as (start, end), of those that have any.
+    """(id, a, b, text, copies, names) of texts that may have windows that stand elsewhere, too, and (id, covered): the words that such windows
+    cover, as runs that may overlap, each the number 2 ** 32 * start + end; of texts that have any.
 
     a and b are two hashes that name the text. Windows of one document count as well as those of several.
     """
@@ -285,21 +287,26 @@ def repeated_windows(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, Data
         raise ValueError("a window has two words at least")
     texts = _candidates(docs, span)
     found = materialize(_shared_spans(texts, span), "anchor-spans")
-    seen = found.groupBy("name").agg(F.sum("copies").alias("n"), (F.min("hash") == F.max("hash")).alias("same")).where("n > 1")
-    named = materialize(found.join(seen, "name").select("name", "id", "start", "size", "same"), "anchor-spans-named")
-    settled = named.where("same").select("id", "start", (F.col("start") + F.col("size") + (span - 1)).alias("end"))
-    mixed = named.where("NOT same").groupBy("id").agg(F.collect_list(F.struct("start", "size", "name")).alias("spans"))
-    windows = materialize(_each_window(texts.join(mixed, "id"), span), "anchor-windows")
-    twice = windows.groupBy("name", "window").agg(F.sum("copies").alias("n")).where("n > 1").select("name", "window")
-    single = windows.join(twice, ["name", "window"], "left_semi").select("id", "start", (F.col("start") + span).alias("end"))
-
-    def together(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            joined = [[{"start": a, "end": b} for a, b in union([(r["start"], r["end"]) for r in own])] for own in frame["runs"]]
-            yield pd.DataFrame({"id": frame["id"], "runs": joined})
-
-    runs = settled.unionByName(single).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    return texts, runs.mapInPandas(together, "id long, runs array<struct<start:int,end:int>>")
+    place = F.xxhash64("id", "start")
+    seen = materialize(found.groupBy("name", "hash").agg(F.sum("copies").alias("n"), F.min(place).alias("one")), "anchor-spans-seen")
+    own, one = F.col("n") == 1, place == F.col("one")
+    named = materialize(found.join(seen, ["name", "hash"]).select("name", "id", "start", "size", own.alias("own"), one.alias("one")), "anchor-spans-named")
+    settled = named.where("NOT own").select("id", "start", (F.col("start") + F.col("size") + (span - 1)).alias("end"))
+    mixed = with_rows_of(named.where("one"), named.where("own").select("name"), "name")
+    listed = mixed.groupBy("id").agg(*(F.collect_list(c).alias(n) for c, n in (("start", "starts"), ("size", "sizes"), ("name", "names"), ("own", "own"))))
+    windows = materialize(_each_window(texts.select("id", "text").join(listed, "id"), span), "anchor-windows")
+    twice = materialize(windows.groupBy("name", "window").agg(F.sum("n").alias("n")).where("n > 1").select("name", "window"), "anchor-windows-twice")
+    single = windows.where("own").join(twice, ["name", "window"], "left_semi").select("id", "start", (F.col("start") + span).alias("end"))
+    run = F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")
+    return texts, settled.unionByName(single).groupBy("id").agg(F.collect_list(run).alias("covered"))
+
+
+def _union(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs joined where they overlap or touch."""
+    covered = np.sort(covered)
+    start, end = covered >> 32, np.maximum.accumulate(covered & 0xFFFFFFFF)
+    head = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
+    return start[head], end[np.append(head[1:], len(start)) - 1]
 
 
 def _left(docs: DataFrame, span: int) -> DataFrame:
@@ -309,12 +316,12 @@ def _left(docs: DataFrame, span: int) -> DataFrame:
         for frame in frames:
             for a, b in slices(frame["text"].tolist()):
                 part = frame.iloc[a:b]
-                runs = [[(r["start"], r["end"]) for r in own] for own in part["runs"]]
-                left = [cut(t, own) for t, own in zip(part["text"], runs, strict=True)]
-                yield part[["a", "b"]].assign(n_removed=[sum(e - s for s, e in own) for own in runs], left=left)
+                runs = [_union(c) for c in part["covered"]]
+                left = [cut(t, list(zip(start.tolist(), end.tolist(), strict=True))) for t, (start, end) in zip(part["text"], runs, strict=True)]
+                yield part[["a", "b"]].assign(n_removed=[int((end - start).sum()) for start, end in runs], left=left)
 
     texts, runs = repeated_windows(docs, span)
-    return materialize(texts.select("id", "a", "b", "text").join(runs, "id").select("a", "b", "text", "runs").mapInPandas(run, "a long, b long, n_removed long, left string"), "without-repeats")
+    return materialize(texts.select("id", "a", "b", "text").join(runs, "id").select("a", "b", "text", "covered").mapInPandas(run, "a long, b long, n_removed long, left string"), "without-repeats")
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
