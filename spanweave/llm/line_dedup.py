@@ -4,7 +4,8 @@ Passages that repeat begin and end inside the lines of a file, so a text is take
 word on. In every WINDOW of consecutive lines the least hash is a fingerprint; so any run of LINE_WORDS + WINDOW - 1 words that
 stands in two texts gives both the same fingerprint. Of texts that share a fingerprint, every passage of MIN_WORDS words whose least line it is
 is hashed; a passage's first document in the corpus (by doc_id, nulls first) keeps it, and it is deleted from all others. So a
-passage meets all its places, whatever else the line in it stands in. The earliest document keeps its whole text.
+passage meets all its places, whatever else the line in it stands in. Within a document, too, a passage that stood before is deleted: that is
+settled where its fingerprints are taken, if one of them comes again.
 
 Documents are rows with the same doc_id and text. Defined cases: a null text has no runs and stays null; rows repeated as a whole are one document
 and get the same result; a short text is never changed; an empty table gives an empty result; other columns are kept.
@@ -48,12 +49,19 @@ def _least(hashes: np.ndarray, window: int) -> np.ndarray:
 
 def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     """Places of the least hash of each window (the last of equal ones). In a stretch of equal hashes one place for a window is kept."""
-    n = len(hashes)
-    if not n:
-        return np.empty(0, np.int64)
-    window = min(window, n)
-    places = np.unique(_least(hashes, window))
-    own = hashes[places]
+    return _thinned(hashes, _places(hashes, window), window)
+
+
+def _places(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least hash of each window (the last of equal ones)."""
+    return np.unique(_least(hashes, min(window, len(hashes)))) if len(hashes) else np.empty(0, np.int64)
+
+
+def _thinned(hashes: np.ndarray, places: np.ndarray, window: int) -> np.ndarray:
+    """In a stretch of equal hashes one place for a window is kept."""
+    if not len(places):
+        return places
+    own, window = hashes[places], min(window, len(hashes))
     chained = np.append(False, (own[1:] == own[:-1]) & (np.diff(places) < window))
     head = places[np.maximum.accumulate(np.where(chained, 0, np.arange(len(places))))]
     turn = (places - head) // window
@@ -65,31 +73,43 @@ def _key(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
 
-def _fingerprints(docs: DataFrame) -> DataFrame:
-    """(fp, key): the distinct window minima of each text."""
+def _again(words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """Runs of a document's passages that it has had before."""
+    passages = W.grams(words, min_words)
+    order = np.argsort(passages, kind="stable")
+    later = order[1:][passages[order[1:]] == passages[order[:-1]]]
+    return union([(s, s + min_words) for s in later.tolist()])
+
+
+def _fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
+    """(fp, key, start, end): the distinct window minima of each text; without a fp, runs of passages that stood in it before."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = frame["text"].tolist()
+            texts, keys = frame["text"].tolist(), frame["key"].tolist()
             for a, b in slices(texts, 1_000_000):
                 found = W.words(texts[a:b])
                 lines = W.grams(found.hashes, LINE_WORDS)
-                fps, owner, at = [], [], 0
+                fps, owner, runs, at = [], [], [], 0
                 for i, n in enumerate(found.counts.tolist(), a):
                     if n >= LINE_WORDS + WINDOW - 1:
                         own = lines[at : at + n - LINE_WORDS + 1]
-                        fps.append(np.unique(own[winnow(own, WINDOW)]))
+                        places = _places(own, WINDOW)
+                        fps.append(np.unique(own[_thinned(own, places, WINDOW)]))
                         owner.append(np.full(len(fps[-1]), i))
+                        if len(fps[-1]) < len(places):
+                            runs += [(keys[i], *r) for r in _again(found.hashes[at : at + n], min_words)]
                     at += n
                 if fps:
-                    yield pd.DataFrame({"fp": np.concatenate(fps).view(np.int64), "key": frame["key"].to_numpy()[np.concatenate(owner)]})
+                    yield pd.DataFrame({"fp": pd.array(np.concatenate(fps).view(np.int64), "Int64"), "key": frame["key"].to_numpy()[np.concatenate(owner)]}).assign(start=None, end=None)
+                yield pd.DataFrame(runs, columns=["key", "start", "end"]).assign(fp=None)
 
-    return _key(docs).where("text IS NOT NULL").select("key", "text").mapInPandas(run, "fp long, key long")
+    return _key(docs).where("text IS NOT NULL").select("key", "text").mapInPandas(run, "fp long, key long, start int, end int")
 
 
-def _shared(docs: DataFrame) -> DataFrame:
+def _shared(rows: DataFrame) -> DataFrame:
     """(key, fps): each document's fingerprints that others have, too, and over how many parts these are dealt."""
-    rows = materialize(_fingerprints(docs), "winnow")
+    rows = rows.where("fp IS NOT NULL").select("fp", "key")
     shared = rows.groupBy("fp").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).where("low <> high")
     shared = shared.select("fp", F.ceil(F.col("n") / PLENTY).cast("int").alias("parts"))
     return rows.join(shared, "fp").groupBy("key").agg(F.collect_list(F.struct("fp", "parts")).alias("fps"))
@@ -219,9 +239,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(key, runs) of documents with runs to delete; key is xxhash64(doc_id, text), a run is (start, end) in words."""
     if min_words < LINE_WORDS + WINDOW - 1:
         raise ValueError("runs so short needn't hold a fingerprint")
-    shared = materialize(_shared(docs), "winnow-shared")
+    rows = materialize(_fingerprints(docs, min_words), "winnow")
+    shared = materialize(_shared(rows), "winnow-shared")
     texts = with_rows_of(_key(docs), shared.select("key"), "key").dropDuplicates(["key"])
-    runs = _repeats(_passages(texts.join(shared, "key"), min_words), min_words)
+    own = rows.where("fp IS NULL").select("key", "start", "end").distinct()  # of rows repeated as a whole
+    runs = _repeats(_passages(texts.join(shared, "key"), min_words), min_words).unionByName(own)
 
     def together(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
