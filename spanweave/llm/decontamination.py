@@ -6,7 +6,8 @@ words of the benchmark (hashed to FEATURES places) that aren't too common; the n
 Every block of the benchmark has a space of its own, so that its passages keep their length there however large the benchmark is. Every
 passage is compared with every benchmark passage by the cosine in the latent space; the shorter the latter is there, the less will do. A document is found if
 an item's longest common subsequence with the surroundings of such a passage is nearly the whole item, or most of it and its answer
-(its last words) stands there too: the latter finds paraphrases.
+(its last words) stands there too: the latter finds paraphrases. Common words alone are no evidence: what is there must have part of the item's IDF, or be an
+answer with a rare word.
 
 Words are runs of letters and digits in lower case. Defined cases: null texts and ones without words match nothing; null doc_ids
 are reported as null; repeated rows are reported once; an item of no words matches nothing; equal items are all reported; an
@@ -42,10 +43,14 @@ WHOLE = 0.8
 MOST = 0.6
 ANSWER = 0.8
 ANSWER_WORDS = 6
-#: Of an item's IDF, what its words that are there must have: common words alone stand in order in many clean texts.
+RARE = -float(np.log(COMMON))
+#: Of an item's IDF, what its words that are there must have: common words alone stand in order in many clean texts. It isn't asked for where so much of
+#: the answer is there as makes an item found, a rare word (in no more documents than COMMON) among it.
 WORTH = 0.45
 #: Passages of the benchmark that share a space: more of them would be too short in it to be found.
 BLOCK_PASSAGES = 3 * RANK
+#: Blocks whose spaces are fitted, and searched, in one pass over the corpus; their matrices are in a task's memory together (some 6 MB each).
+BLOCKS = 16
 #: A passage is also compared if its cosine reaches so much of the length that the item's own passage has in the space.
 CAPTURED = 0.25
 
@@ -188,60 +193,78 @@ def _batches(frames: Iterator[pd.DataFrame], most: int = 400_000) -> Iterator[tu
         yield ids, texts
 
 
-def _pass(rows: DataFrame, bench: list[np.ndarray], weight: np.ndarray, column: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """The normal product over all passages; the benchmark's weigh as much as the corpus' together."""
-    shared = rows.sparkSession.sparkContext.broadcast((weight, column, matrix))
+class _Block(NamedTuple):
+    """What the matrix of one block of the benchmark is made of."""
+
+    weight: np.ndarray
+    column: np.ndarray
+    matrix: np.ndarray
+
+
+def _pass(rows: DataFrame, benches: list[list[np.ndarray]], blocks: list[_Block]) -> list[np.ndarray]:
+    """The normal products of several blocks over all passages, from one pass; a block's own passages weigh as much as the corpus' together."""
+    shared = rows.sparkSession.sparkContext.broadcast(blocks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weight, column, matrix = shared.value
-        total, n = np.zeros_like(matrix), 0
+        totals, counts = [np.zeros_like(b.matrix) for b in shared.value], np.zeros(len(shared.value))
         for _, texts in _batches(frames):
-            p = _passages(texts, weight, column)
-            n += len(p.low)
-            total += _normal_product(p, matrix)
-        yield pd.DataFrame({"v": [np.append(total.reshape(-1), n).astype("<f8").tobytes()]})
+            for k, block in enumerate(shared.value):
+                p = _passages(texts, block.weight, block.column)
+                counts[k] += len(p.low)
+                totals[k] += _normal_product(p, block.matrix)
+        yield pd.DataFrame({"v": [np.concatenate([*(t.reshape(-1) for t in totals), counts]).astype("<f8").tobytes()]})
 
     summed = _sum_vectors(rows.select("doc_id", "words").mapInPandas(run, "v binary"), "v", "<f8")
-    own = np.zeros(matrix.shape)
-    count = 0
-    for at in range(0, len(bench), 1000):
-        p = _passages(bench[at : at + 1000], weight, column)
-        count += len(p.low)
-        own += _normal_product(p, matrix)
-    corpus = summed[:-1].reshape(matrix.shape) if len(summed) else np.zeros(matrix.shape)
-    return corpus + own * (max(summed[-1] if len(summed) else 0, count) / max(1, count))
+    out, at = [], 0
+    for k, (bench, block) in enumerate(zip(benches, blocks, strict=True)):
+        own, count = np.zeros(block.matrix.shape), 0
+        for i in range(0, len(bench), 1000):
+            p = _passages(bench[i : i + 1000], block.weight, block.column)
+            count += len(p.low)
+            own += _normal_product(p, block.matrix)
+        corpus, n = np.zeros(block.matrix.shape), 0
+        if len(summed):
+            corpus, n = summed[at : at + block.matrix.size].reshape(block.matrix.shape), summed[len(summed) - len(blocks) + k]
+            at += block.matrix.size
+        out.append(corpus + own * (max(n, count) / max(1, count)))
+    return out
 
 
-def fit_space(rows: DataFrame, df: np.ndarray, bench: list[np.ndarray]) -> Space:
-    """IDF weights, and the leading right singular vectors by a randomised SVD that reads the passages once.
+def fit_spaces(rows: DataFrame, df: np.ndarray, benches: list[list[np.ndarray]]) -> list[Space]:
+    """IDF weights, and each block's leading right singular vectors by a randomised SVD; all of them read the passages once.
 
-    Of the normal matrix only its product with random vectors is known; the Nystrom approximation from it has the same range.
+    Of a normal matrix only its product with random vectors is known; the Nystrom approximation from it has the same range.
     """
     total = int(df[-1])
     idf = np.log((1 + total) / (1 + df[:-1])).astype(np.float32)
-    weight = idf + np.float32(1)
-    in_bench = np.zeros(FEATURES, bool)
-    for words in bench:
-        in_bench[_feature(words)] = True
-    rare = df[:-1] <= max(COMMON * total, 2)
-    for words in bench:
-        own = np.unique(_feature(words))
-        rare[own[np.argsort(df[own], kind="stable")[:RAREST]]] = True
-    weight[~rare] = 0
-    useful = np.flatnonzero(in_bench & rare)
-    column = np.full(FEATURES, -1, np.int32)
-    column[useful] = np.arange(len(useful))
-    latent = np.zeros((len(useful), 0), np.float32)
-    k = min(len(useful), RANK + OVERSAMPLE)
-    if k:
-        start, _ = np.linalg.qr(np.random.default_rng(3).standard_normal((len(useful), k)))
-        product = _pass(rows, bench, weight, column, start.astype(np.float32))
-        inner = start.T @ product
-        values, turn = np.linalg.eigh((inner + inner.T) / 2)
-        some = values > 1e-6 * max(values[-1], 0)
-        left, _, _ = np.linalg.svd(product @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)
-        latent = left[:, :RANK].astype(np.float32)
-    return Space(idf, weight, column, latent)
+    blocks = []
+    for bench in benches:
+        weight = idf + np.float32(1)
+        in_bench = np.zeros(FEATURES, bool)
+        for words in bench:
+            in_bench[_feature(words)] = True
+        rare = df[:-1] <= max(COMMON * total, 2)
+        for words in bench:
+            own = np.unique(_feature(words))
+            rare[own[np.argsort(df[own], kind="stable")[:RAREST]]] = True
+        weight[~rare] = 0
+        useful = np.flatnonzero(in_bench & rare)
+        column = np.full(FEATURES, -1, np.int32)
+        column[useful] = np.arange(len(useful))
+        k = min(len(useful), RANK + OVERSAMPLE)
+        start = np.linalg.qr(np.random.default_rng(3).standard_normal((len(useful), k)))[0] if k else np.zeros((0, 0))
+        blocks.append(_Block(weight, column, start.astype(np.float32)))
+    out = []
+    for block, product in zip(blocks, _pass(rows, benches, blocks), strict=True):
+        latent = np.zeros((len(block.matrix), 0), np.float32)
+        if block.matrix.size:
+            inner = block.matrix.T.astype(np.float64) @ product
+            values, turn = np.linalg.eigh((inner + inner.T) / 2)
+            some = values > 1e-6 * max(values[-1], 0)
+            left, _, _ = np.linalg.svd(product @ (turn[:, some] / np.sqrt(values[some])), full_matrices=False)
+            latent = left[:, :RANK].astype(np.float32)
+        out.append(Space(idf, block.weight, block.column, latent))
+    return out
 
 
 def lcs(a: list[int], b: list[int]) -> int:
@@ -263,12 +286,16 @@ class _Item(NamedTuple):
 
 
 def overlap(item: _Item, text: list[int]) -> tuple[float, float]:
-    """Parts of an item and of its answer that stand in order in a text; zeros if fewer than MOST of its words are there at all, or WORTH of their IDF."""
+    """Parts of an item and of its answer that stand in order in a text; zeros if fewer than MOST of its words are there at all, or too common ones."""
     there = set(text)
     here = [v for w, v in zip(item.words, item.worth, strict=True) if w in there]
-    if len(here) < MOST * len(item.words) or sum(here) < WORTH * sum(item.worth):
+    if len(here) < MOST * len(item.words):
         return 0.0, 0.0
     answer = item.words[-ANSWER_WORDS:]
+    if sum(here) < WORTH * sum(item.worth):
+        told = [v for w, v in zip(answer, item.worth[-ANSWER_WORDS:], strict=True) if w in there]
+        if len(told) < ANSWER * len(answer) or max(told) < RARE:
+            return 0.0, 0.0
     return lcs(item.words, text) / len(item.words), lcs(answer, text) / len(answer)
 
 
@@ -276,33 +303,51 @@ def is_found(common: float, answer: float) -> bool:
     return common >= WHOLE or (common >= MOST and answer >= ANSWER)
 
 
-def _matches(rows: DataFrame, space: Space, items: list[tuple[int | None, np.ndarray]]) -> DataFrame:
-    """(doc_id, item_id, cosine, common, answer) for one block of benchmark items."""
+class _Targets(NamedTuple):
+    """A block's passages in its space: unit vectors, the least cosine of each and which item it is of; and the items."""
+
+    space: Space
+    vectors: np.ndarray
+    bound: np.ndarray
+    owners: np.ndarray
+    items: list[_Item]
+
+
+def _targets(space: Space, items: list[tuple[int | None, np.ndarray]]) -> _Targets:
     own = _passages([w for _, w in items], space.weight, space.column)
-    targets = _project(own, space.latent)
-    size = np.linalg.norm(targets, axis=1, keepdims=True)
-    targets = np.divide(targets, size, out=np.zeros_like(targets), where=size > 0)
-    bound = np.minimum(COSINE, CAPTURED * size[:, 0])
-    owners = own.text
+    vectors = _project(own, space.latent)
+    size = np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = np.divide(vectors, size, out=np.zeros_like(vectors), where=size > 0)
     listed = [_Item(item_id, w.tolist(), space.idf[_feature(w)].tolist()) for item_id, w in items]
-    shared = rows.sparkSession.sparkContext.broadcast((space, targets, bound, owners, listed))
+    return _Targets(space, vectors, np.minimum(COSINE, CAPTURED * size[:, 0]), own.text, listed)
+
+
+def _near(texts: list[np.ndarray], block: _Targets) -> Iterator[tuple[int, int, int, float]]:
+    """(text, start, item, cosine) of passages whose cosine with one of an item's is high enough."""
+    p = _passages(texts, block.space.weight, block.space.column)
+    for at in range(0, len(p.low), 8192):
+        part = p._replace(low=p.low[at : at + 8192], high=p.high[at : at + 8192], norm=p.norm[at : at + 8192])
+        cosines = _project(part, block.space.latent) @ block.vectors.T
+        for i, j in np.argwhere(cosines >= block.bound).tolist():
+            yield int(p.text[at + i]), int(p.start[at + i]), int(block.owners[j]), float(cosines[i, j])
+
+
+def _matches(rows: DataFrame, blocks: list[_Targets]) -> DataFrame:
+    """(doc_id, item_id, cosine, common, answer) for some blocks of benchmark items."""
+    shared = rows.sparkSession.sparkContext.broadcast(blocks)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        space, targets, bound, owners, items = shared.value
         for ids, texts in _batches(frames):
-            p = _passages(texts, space.weight, space.column)
-            best: dict[tuple[int, int], tuple] = {}
-            for at in range(0, len(p.low), 8192):
-                part = p._replace(low=p.low[at : at + 8192], high=p.high[at : at + 8192], norm=p.norm[at : at + 8192])
-                cosines = _project(part, space.latent) @ targets.T
-                for i, j in np.argwhere(cosines >= bound).tolist():
-                    text, item = int(p.text[at + i]), int(owners[j])
-                    start, size = int(p.start[at + i]), len(items[item].words)
+            out = []
+            for block in shared.value:
+                best: dict[tuple[int, int], tuple] = {}
+                for text, start, item, cosine in _near(texts, block):
+                    size = len(block.items[item].words)
                     near = texts[text][max(0, start - size) : start + PASSAGE + size].tolist()
-                    found = (*overlap(items[item], near), float(cosines[i, j]))
+                    found = (*overlap(block.items[item], near), cosine)
                     if is_found(*found[:2]):
                         best[text, item] = max(found, best.get((text, item), found))
-            out = [(ids[t], items[i].item_id, cosine, common, answer) for (t, i), (common, answer, cosine) in best.items()]
+                out += [(ids[t], block.items[i].item_id, cosine, common, answer) for (t, i), (common, answer, cosine) in best.items()]
             frame = pd.DataFrame(out, columns=["doc_id", "item_id", "cosine", "common", "answer"])
             frame["doc_id"], frame["item_id"] = frame["doc_id"].astype("Int64"), frame["item_id"].astype("Int64")
             yield frame
@@ -325,11 +370,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     table = materialize(_words(docs), "decontamination-words")
     rows = table.where("words IS NOT NULL")
     df = _sum_vectors(table.where("df IS NOT NULL"), "df", "<i8")
+    df = df if len(df) else np.zeros(FEATURES + 1, np.int64)
     out = None
-    for block in blocks:
-        space = fit_space(rows, df if len(df) else np.zeros(FEATURES + 1, np.int64), [w for _, w in block])
-        if space.latent.shape[1]:
-            own = materialize(_matches(rows, space, block), "decontamination-matches")
+    for at in range(0, len(blocks), BLOCKS):
+        some = blocks[at : at + BLOCKS]
+        spaces = fit_spaces(rows, df, [[w for _, w in block] for block in some])
+        targets = [_targets(space, block) for space, block in zip(spaces, some, strict=True) if space.latent.shape[1]]
+        if targets:
+            own = materialize(_matches(rows, targets), "decontamination-matches")
             out = own if out is None else out.unionByName(own)
     if out is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, cosine double, common double, answer double")

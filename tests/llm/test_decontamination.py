@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -109,3 +110,45 @@ def test_a_paraphrase_of_the_rare_words_is_found(spark):
 def test_the_words_in_order_decide():
     assert d.overlap(d._Item(1, [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], [1.0] * 9 + [9.0]), [0, 1, 2, 3, 0, 5, 6, 7, 8, 9, 0, 4]) == (0.8, 5 / 6)
     assert d.is_found(0.6, 5 / 6) and d.is_found(0.8, 0.0) and not d.is_found(0.79, 0.7) and not d.is_found(0.59, 1.0)
+
+
+def brute(texts, items, df, total):
+    """Pairs found by the stated rule around every passage of every document, without retrieval."""
+    idf = np.log((1 + total) / (1 + df))
+    listed = [d._Item(i, w.tolist(), idf[d._feature(w)].tolist()) for i, w in items]
+    out = set()
+    for doc_id, words in texts:
+        every = set(words.tolist())
+        for item in listed:
+            if sum(w in every for w in item.words) >= d.MOST * len(item.words):
+                size = len(item.words)
+                if any(d.is_found(*d.overlap(item, words[max(0, a - size) : a + d.PASSAGE + size].tolist())) for a in d._spans(len(words))[0].tolist()):
+                    out.add((doc_id, item.item_id))
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_findings_equal_brute_force_over_all_passages(spark, monkeypatch, small):
+    sf_dir = "/root/testdata/sf0.01"
+    if small:  # many blocks, of which a few share a pass
+        monkeypatch.setattr(d, "BLOCK_PASSAGES", 20)
+        monkeypatch.setattr(d, "BLOCKS", 4)
+    docs = [r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect() if r.text is not None]
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()
+    texts = d._tokens([r.text for r in docs])
+    df = np.zeros(d.FEATURES, np.int64)
+    for words in texts:
+        df[np.unique(d._feature(words))] += 1
+    want = brute(zip([r.doc_id for r in docs], texts, strict=True), list(zip([r.item_id for r in items], d._tokens([r.text for r in items]), strict=True)), df, len(docs))
+    got = {(r.doc_id, r.item_id) for r in d.query(spark, sf_dir).collect()}
+    assert len(want) > 20 and got == want
+
+
+def test_an_answer_with_a_rare_word_needs_no_floor():
+    worth = [0.1] * 6 + [5.0] * 8 + [1.0, 1.0, 1.0, 1.0, 1.0, 4.0]
+    item = d._Item(1, list(range(20)), worth)
+    swapped = [*range(6), *[99] * 8, *range(14, 20)]  # 0.6 of the words, a fifth of their IDF
+    assert d.is_found(*d.overlap(item, swapped))
+    common = item._replace(worth=[*worth[:-1], 1.0])
+    assert not d.is_found(*d.overlap(common, swapped))
+    assert not d.is_found(*d.overlap(item, swapped[:-2]))
