@@ -31,6 +31,19 @@ def top_with_others(df: DataFrame, name: str, value: str, n: int, others: str =
     return joined.groupBy(label.alias(name)).agg(F.sum(value).alias(value))
 
 
+def with_totals(df: DataFrame, dims: Sequence[str], folds: Sequence[Column], total: str = "Total", every: bool = False) -> DataFrame:
+    """Folds by all dims, and totals from the same scan, named ``total`` in the dims that they are over.
+
+    Totals are over the last dims, step by step, up to the total of all; with ``every`` over each subset of them. A null of a dim stays null: grouping sets
+    tell it from a total.
+    """
+    grouped = df.cube(*dims) if every else df.rollup(*dims)
+    over = [F.grouping(d).alias(f"_over_{d}") for d in dims]
+    out = grouped.agg(*folds, *over)
+    shown = {d: F.when(F.col(f"_over_{d}") == 1, F.lit(total)).otherwise(F.col(d).cast("string")) for d in dims}
+    return out.select(*(c.alias(d) for d, c in shown.items()), *(c for c in out.columns if c not in dims and not c.startswith("_over_")))
+
+
 def order_categories(df: DataFrame, name: str, value: str, last: str = "Others") -> DataFrame:
     """Adds place: categories by their total, greatest first, ``last`` always at the end."""
     totals = df.groupBy(name).agg(F.sum(value).alias("_total"))

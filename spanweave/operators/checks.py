@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -33,3 +34,37 @@ def expect(df: DataFrame, what: str) -> None:
     """Fail if an expectation has any row against it."""
     if not df.isEmpty():
         raise AssertionError(f"{what}: {df.limit(5).collect()}")
+
+
+@dataclass(frozen=True)
+class Expectations:
+    """What is expected of a table. Nulls and values are counted while it is written, unique keys and ranges by reading what was written.
+
+    ``unique`` are columns that name a row together; ``apart`` are (key columns, start, end) of ranges that mustn't overlap, an open end being far off.
+    """
+
+    not_null: Sequence[str] = ()
+    accepted: Mapping[str, Sequence] = field(default_factory=dict)
+    unique: Sequence[str] = ()
+    apart: tuple[Sequence[str], str, str] | None = None
+
+    def write(self, df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+        """Write a table, over an old one if there is one; AssertionError if it isn't as expected, and then it is removed again."""
+        counted = {f"{c} is null": F.count(F.when(F.col(c).isNull(), 1)) for c in self.not_null}
+        counted |= {f"{c} is something else": F.count(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*v), 1)) for c, v in self.accepted.items()}
+        seen = Observation()
+        rows = df.observe(seen, *(n.alias(k) for k, n in counted.items())) if counted else df
+        rows.write.mode("overwrite").partitionBy(*by).parquet(path)
+        broken = {k: n for k, n in seen.get.items() if n} if counted else {}
+        written = df.sparkSession.read.schema(df.schema).parquet(path)
+        if self.unique and not (again := repeated_keys(written, self.unique)).isEmpty():
+            broken["not unique"] = [tuple(r) for r in again.limit(5).collect()]
+        if self.apart:
+            keys, start, end = self.apart
+            stop = F.coalesce(F.col(end), F.lit("9999-12-31").cast(df.schema[end].dataType))
+            if not (crossed := overlapping(written, keys, start, stop)).isEmpty():
+                broken["overlaps"] = [tuple(r) for r in crossed.select(*keys, start).limit(5).collect()]
+        if broken:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+            raise AssertionError(f"{path}: {broken}")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanweave.operators.windows import keep_first
+
 
 def asof_join(
     left: DataFrame,
@@ -144,16 +146,18 @@ def count_between(spans: DataFrame, points: DataFrame, by: Sequence[str], start:
 def first_match(left: DataFrame, right: DataFrame, left_keys: Sequence[Column], right_keys: Sequence[Column], identity: Sequence[str], tie: Sequence[str]) -> DataFrame:
     """A left join on any pair of several candidate keys of both sides; the pair that is first in order wins.
 
-    Candidates become rows with their priority, so the join is by equality.
+    Candidates become rows with their priority, so the join is by equality. Of the right rows of a key only the first by priority and ``tie`` can win,
+    so the right side is one row a key before it is joined.
     """
 
     def spread(df: DataFrame, keys: Sequence[Column], place: str) -> DataFrame:
         listed = F.posexplode(F.array(*(k.cast("string") for k in keys)))
         return df.select("*", listed.alias(place, "_key")).where("_key IS NOT NULL AND _key <> ''")
 
-    pairs = spread(left.select(*identity, *[k for k in left.columns if k not in identity]), left_keys, "_i").join(spread(right, right_keys, "_j"), "_key")
     extra = [c for c in right.columns if c not in left.columns]
-    best = Window.partitionBy(*identity).orderBy("_i", "_j", *tie)
+    first = keep_first(spread(right, right_keys, "_j"), ["_key"], ["_j", *(c for c in tie if c in right.columns)]).select("_key", *extra)
+    pairs = spread(left, left_keys, "_i").select(*identity, "_i", "_key").join(first, "_key")
+    best = Window.partitionBy(*identity).orderBy("_i")
     chosen = pairs.withColumn("_n", F.row_number().over(best)).where("_n = 1").select(*identity, *extra)
     return left.join(chosen, list(identity), "left")
 

@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from spanweave.plans import feature_queries, join_queries, landing_queries, report_queries, span_queries, table_queries, window_queries  # noqa: F401
+    from spanweave.plans import feature_queries, join_queries, landing_queries, report_queries, span_queries, storage_queries, table_queries, wide_queries, window_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

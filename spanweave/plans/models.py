@@ -8,12 +8,18 @@ from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanweave.operators.tables import upsert_coalesce, upsert_replace, write_version
+from spanweave.operators.checks import Expectations
+from spanweave.operators.partitions import merge_partitions, read_partitions
+from spanweave.operators.tables import table_exists, upsert_coalesce, upsert_replace, write_version
 
 
 @dataclass(frozen=True)
 class Model:
-    """``stored``: table (replaced whole), incremental (merged by keys), view (a temporary view) or inline (only a DataFrame)."""
+    """``stored``: table (replaced whole), incremental (merged by keys), view (a temporary view) or inline (only a DataFrame).
+
+    ``by``: an incremental table in partitions by these columns, of which a run rewrites only those it touches. ``expects``: what a stored table must be like;
+    one that isn't isn't put in place, and the run ends.
+    """
 
     name: str
     reads: tuple[str, ...]
@@ -22,6 +28,8 @@ class Model:
     keys: tuple[str, ...] = ()
     merge: str = "replace"
     layer: str = "analytics"
+    by: tuple[str, ...] = ()
+    expects: Expectations = Expectations()
 
 
 @dataclass
@@ -52,11 +60,6 @@ class Warehouse:
             todo += graph[name]
         return list(TopologicalSorter(graph).static_order())
 
-    def _stored(self, path: str) -> DataFrame | None:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        there = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
-        return self.spark.read.parquet(path) if there else None
-
     def run(self, targets: Iterable[str], inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Build the targets with their ancestors; returns every model built."""
         built = dict(inputs)
@@ -66,11 +69,17 @@ class Warehouse:
             if model.stored == "view":
                 out.createOrReplaceTempView(name)
             elif model.stored in ("table", "incremental"):
-                old = self._stored(self.path(model)) if model.stored == "incremental" else None
-                if old is not None:
-                    merge = upsert_coalesce if model.merge == "coalesce" else upsert_replace
-                    out = merge(old, out, list(model.keys))
-                write_version(out, self.path(model))
-                out = self.spark.read.parquet(self.path(model))
+                out = self._write(model, out)
             built[name] = out
         return built
+
+    def _write(self, model: Model, out: DataFrame) -> DataFrame:
+        path = self.path(model)
+        merge = upsert_coalesce if model.merge == "coalesce" else upsert_replace
+        if model.stored == "incremental" and model.by:
+            merge_partitions(out, path, model.keys, model.by, merge, expects=model.expects)
+            return read_partitions(self.spark, path)
+        if model.stored == "incremental" and table_exists(self.spark, path):
+            out = merge(self.spark.read.parquet(path), out, list(model.keys))
+        write_version(out, path, model.expects)
+        return self.spark.read.parquet(path)

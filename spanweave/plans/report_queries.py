@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from spanweave.functions.scalars import truth
-from spanweave.operators.aggregates import distinct_text, first_known, null_if_any_null, order_categories, ordered_json, pivot_metrics, share_of_range, stacked, top_n, top_with_others
+from spanweave.operators.aggregates import distinct_text, first_known, null_if_any_null, order_categories, ordered_json, pivot_metrics, share_of_range, stacked, top_n, top_with_others, with_totals
 from spanweave.operators.facets import facet, search, yes_no
 from spanweave.plans import reports
 from spanweave.plans.catalog import register, table
@@ -103,7 +103,21 @@ def leaderboard_single(spark, sf_dir):
 def summary_with_total(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("dim"), F.col("l_quantity").cast(MONEY).alias("q"), F.col("l_extendedprice").cast(MONEY).alias("p"))
     sums = [F.count("*").alias("n"), F.sum("q").cast("decimal(28,2)").alias("quantity"), F.sum("p").cast("decimal(28,2)").alias("price")]
-    return rows.groupBy("dim").agg(*sums).unionByName(rows.agg(F.lit("Total").alias("dim"), *sums))
+    return with_totals(rows, ["dim"], sums)
+
+
+@register(
+    "totals_of_two_dims",
+    """
+    WITH g AS (SELECT l_returnflag AS flag, CASE WHEN l_linenumber > 2 THEN l_linenumber END AS line, CAST(l_quantity AS DECIMAL(18,2)) AS q FROM lineitem)
+    SELECT CASE WHEN grouping(flag) = 1 THEN 'All' ELSE flag END AS flag, CASE WHEN grouping(line) = 1 THEN 'All' ELSE CAST(line AS VARCHAR) END AS line, CAST(count(*) AS BIGINT) AS n, CAST(sum(q) AS DECIMAL(28,2)) AS quantity FROM g GROUP BY CUBE (flag, line)
+    """,
+)
+def totals_of_two_dims(spark, sf_dir):
+    """Both dims, each alone, and all, from one scan; a line number that is null is no total."""
+    line = F.when(F.col("l_linenumber") > 2, F.col("l_linenumber"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), line.alias("line"), F.col("l_quantity").cast(MONEY).alias("q"))
+    return with_totals(rows, ["flag", "line"], [F.count("*").alias("n"), F.sum("q").cast("decimal(28,2)").alias("quantity")], "All", every=True)
 
 
 @register(

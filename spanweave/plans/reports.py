@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.functions.scalars import dollars, one_decimal
-from spanweave.operators.aggregates import distinct_text, first_known, order_categories, stacked, top_n, top_with_others
+from spanweave.operators.aggregates import distinct_text, first_known, order_categories, stacked, top_n, top_with_others, with_totals
 from spanweave.operators.facets import facet
 from spanweave.operators.joins import fill_wanted
 
@@ -28,10 +28,8 @@ def league_bars(rows: DataFrame, filters: Sequence[Column], x: str, color: str,
 
 
 def league_summary(rows: DataFrame, dim: str) -> DataFrame:
-    """All metrics of each category, and a row Total."""
-    own = rows.where(F.col(dim).isNotNull())
-    sums = [F.sum(metric(m)).alias(m) for m in METRICS]
-    return own.groupBy(dim).agg(*sums).unionByName(own.agg(F.lit("Total").alias(dim), *sums))
+    """All metrics of each category, and a row Total, from one scan; a table without rows has no total."""
+    return with_totals(rows.where(F.col(dim).isNotNull()), [dim], [F.sum(metric(m)).alias(m) for m in METRICS])
 
 
 def options(rows: DataFrame, *columns: str) -> DataFrame:

@@ -43,9 +43,8 @@ def _teams(spark):
     return spark.range(1, 6)
 
 
-def _described(spark, sf_dir):
+def told(rows):
     """Placements with an injury told by their number."""
-    rows = P.placements(_transactions(spark, sf_dir))
     number = "il_place_trans_id"
     return rows.withColumns(
         {"raw_injury": F.concat(F.lit("raw "), F.col(number).cast("string")), "side": F.lit("left"), "body_part": _pick(_PARTS, number), "injury_type": _pick(_KINDS, number), "body_part_group": _pick(_GROUPS, number)}
@@ -53,9 +52,9 @@ def _described(spark, sf_dir):
 
 
 def _appearances(spark, sf_dir):
-    """Some line items are games that a customer was seen in."""
+    """Line items are games that a customer was seen in."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("person_id"))
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_orderkey", F.to_date("l_shipdate").alias("game_date"), (F.col("l_suppkey") % 5 + 1).alias("team_id"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("game_date"), (F.col("l_suppkey") % 5 + 1).alias("team_id"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("person_id", "game_date", "team_id")
 
 
@@ -77,7 +76,7 @@ _RETURNED = f"""{_PLACED},
     returned AS (SELECT * EXCLUDE (end_date, cap, is_late), CASE WHEN end_date IS NOT NULL AND count(*) OVER w > 1 AND il_place_date = min(il_place_date) OVER w THEN NULL ELSE end_date END AS return_date
         FROM capped WINDOW w AS (PARTITION BY person_id, end_date))"""
 _OVERRIDDEN = f"""{_RETURNED},
-    seen AS (SELECT o_custkey AS person_id, CAST(l_shipdate AS DATE) AS game, l_suppkey % 5 + 1 AS team FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1),
+    seen AS (SELECT o_custkey AS person_id, CAST(l_shipdate AS DATE) AS game, l_suppkey % 5 + 1 AS team FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
     with_game AS (SELECT r.*, s.game, s.team FROM returned r LEFT JOIN seen s ON r.person_id = s.person_id AND s.game > r.il_place_date
         QUALIFY row_number() OVER (PARTITION BY il_place_trans_id ORDER BY game NULLS LAST, team) = 1),
     overridden AS (SELECT il_place_trans_id, person_id, il_place_date, il_place_team, CASE WHEN early THEN team ELSE return_team_id END AS return_team_id,
@@ -122,7 +121,7 @@ def appearance_returns(spark, sf_dir):
 
 
 def _spans(spark, sf_dir):
-    return P.build_spans(_described(spark, sf_dir), _transactions(spark, sf_dir), _calendar(spark), _teams(spark), _appearances(spark, sf_dir), F.lit(_AS_OF).cast("date"))
+    return P.build_spans(told(P.placements(_transactions(spark, sf_dir))), _transactions(spark, sf_dir), _calendar(spark), _teams(spark), _appearances(spark, sf_dir), F.lit(_AS_OF).cast("date"))
 
 
 @register(

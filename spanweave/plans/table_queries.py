@@ -115,11 +115,11 @@ def dictionary_extract(spark, sf_dir):
 
 @register(
     "integer_division_ratio",
-    "SELECT l_orderkey, l_linenumber, CAST((l_partkey // (l_suppkey + 1)) * 703 AS BIGINT) AS whole, round(l_partkey / (l_suppkey + 1) * 703, 4) AS exact FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, CAST((l_partkey // (l_linenumber * l_linenumber)) * 703 AS BIGINT) AS whole, round(l_partkey / (l_linenumber * l_linenumber) * 703, 4) AS exact FROM lineitem",
 )
 def integer_division_ratio(spark, sf_dir):
-    whole = F.expr("(l_partkey DIV (l_suppkey + 1)) * 703")
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", whole.alias("whole"), F.round(F.col("l_partkey") / (F.col("l_suppkey") + 1) * 703, 4).alias("exact"))
+    weight, inches = F.col("l_partkey"), F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", S.body_mass_index(weight, inches, whole=True).cast("long").alias("whole"), F.round(S.body_mass_index(weight, inches), 4).alias("exact"))
 
 
 @register(
@@ -257,9 +257,11 @@ def table_row_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.size(table_rows(F.col("html"), 1)).alias("n_rows"))
 
 
-@register("url_normalize", "SELECT page_id, replace(url, 'output=html', 'output=csv') AS url FROM pages")
+@register("url_normalize", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE url || '&x=1?output=csv' END AS url FROM pages")
 def url_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", csv_export_url(F.col("url")).alias("url"))
+    """Addresses that ask for a page, two of three, ask for its rows."""
+    asked = F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(F.concat("url", F.lit("&x=1?output=html")))
+    return table(spark, sf_dir, "pages").select("page_id", csv_export_url(asked).alias("url"))
 
 
 @register(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from spanweave.operators.tables import table_exists, upsert_coalesce, upsert_replace, write_version
+from spanweave.operators.tables import keep_newer, table_exists, upsert_coalesce, upsert_replace, write_version
 from spanweave.operators.windows import keep_first
 
 
@@ -22,13 +22,17 @@ def latest_in_lookback(stream: DataFrame, keys: Sequence[str], ts: str, days: in
 
 
 def merge_into(stream: DataFrame, path: str, keys: Sequence[str], newest: str, checkpoint: str, coalesce: bool = True) -> DataStreamWriter:
-    """Merges every micro-batch into the table at ``path``. A batch that is run again gives the same table."""
+    """Merges every micro-batch into the table at ``path``: the row with the greatest ``newest`` of a key wins, among a batch's and the stored one.
+
+    A batch that is run again gives the same table.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         fresh = keep_first(batch, keys, [F.col(newest).desc_nulls_last(), F.xxhash64(*batch.columns)])
         if table_exists(spark, path):
-            fresh = (upsert_coalesce if coalesce else upsert_replace)(spark.read.parquet(path), fresh, keys)
+            stored = spark.read.parquet(path)
+            fresh = (upsert_coalesce if coalesce else upsert_replace)(stored, keep_newer(stored, fresh, keys, newest), keys)
         write_version(fresh, path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
