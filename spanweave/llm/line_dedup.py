@@ -87,7 +87,7 @@ def _fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts, keys = frame["text"].tolist(), frame["key"].tolist()
-            for a, b in slices(texts, 1_000_000):
+            for a, b in slices(texts, 500_000):
                 found = W.words(texts[a:b])
                 lines = W.grams(found.hashes, LINE_WORDS)
                 fps, owner, runs, at = [], [], [], 0
@@ -102,7 +102,8 @@ def _fingerprints(docs: DataFrame, min_words: int) -> DataFrame:
                     at += n
                 if fps:
                     yield pd.DataFrame({"fp": pd.array(np.concatenate(fps).view(np.int64), "Int64"), "key": frame["key"].to_numpy()[np.concatenate(owner)]}).assign(start=None, end=None)
-                yield pd.DataFrame(runs, columns=["key", "start", "end"]).assign(fp=None)
+                if runs:
+                    yield pd.DataFrame(runs, columns=["key", "start", "end"]).assign(fp=None)
 
     return _key(docs).where("text IS NOT NULL").select("key", "text").mapInPandas(run, "fp long, key long, start int, end int")
 
@@ -142,7 +143,7 @@ def _passages(rows: DataFrame, min_words: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at, to in slices(frame["text"].tolist(), 1_000_000):
+            for at, to in slices(frame["text"].tolist(), 500_000):
                 part, out = frame.iloc[at:to], []
                 for known, doc_id, key, own, fps in zip(part["known"].tolist(), part["doc_id"].tolist(), part["key"].tolist(), W.words(part["text"].tolist()).of_texts(), part["fps"], strict=True):
                     shared = np.array([f["fp"] for f in fps], np.int64).view(np.uint64), np.array([f["parts"] for f in fps])
