@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.extraction import assumed_side, body_group, is_activation, is_placement, parse_injury, raw_description
-from spanweave.functions.scalars import ascii_letters, surrogate_key
+from spanweave.functions.scalars import ascii_letters, round_half_away, surrogate_key
 from spanweave.operators.joins import asof_join, clip, count_between, either_key, overlap_join
 from spanweave.operators.windows import island_ids, keep_first, last_in_group, last_known
 
@@ -186,10 +186,10 @@ def games_missed(slices: DataFrame, games: DataFrame) -> DataFrame:
 def valued(rows: DataFrame, salary: DataFrame, minimum: DataFrame, projections: DataFrame) -> DataFrame:
     """Adds injured_salary in millions and war_missed, of a season of 162 games."""
     out = rows.join(salary, ["person_id", "season"], "left").join(F.broadcast(minimum), "season", "left").join(projections, ["person_id", "season"], "left")
-    pay = F.greatest(F.coalesce("salary", F.lit(0)), F.col("min_salary")).cast("decimal(18,2)")
+    pay = F.greatest(F.coalesce("salary", F.lit(0)), F.col("min_salary")).cast("double")
     share = F.when(F.col("games_missed") > 162, pay).otherwise(pay * F.col("games_missed") / 162)
-    war = F.coalesce("war_per_162", F.lit(0.5)).cast("decimal(9,4)") * F.col("games_missed") / 162
-    return out.withColumns({"injured_salary": F.round(share / 1_000_000, 2).cast("decimal(18,2)"), "war_missed": F.round(war, 1).cast("decimal(9,1)")}).drop("salary", "min_salary", "war_per_162")
+    war = F.coalesce("war_per_162", F.lit(0.5)).cast("double") * F.col("games_missed") / 162
+    return out.withColumns({"injured_salary": round_half_away(share / 1_000_000, 2).cast("decimal(18,2)"), "war_missed": round_half_away(war, 1).cast("decimal(9,1)")}).drop("salary", "min_salary", "war_per_162")
 
 
 def season_calendar(games: DataFrame, teams: DataFrame, as_of: Column, left_out: tuple[str, ...] = ("S", "E")) -> DataFrame:

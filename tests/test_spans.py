@@ -1,10 +1,13 @@
 """Spans on small hand-made tables; expected rows were worked out by hand."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from spanweave.functions import extraction as X
 from spanweave.functions.extraction import assumed_side, body_group, parse_injury
 from spanweave.operators.checks import expect, overlapping
 from spanweave.plans import spans as s
@@ -155,3 +158,28 @@ def test_severe_second_description_goes_first(spark):
     df = spark.createDataFrame([(1, "a", "elbow", "strain", "b", "ucl", "tear"), (2, "a", "elbow", "strain", "b", "ucl", "partial tear"), (3, "a", "elbow", "strain", None, None, None)], "id int, raw_injury string, body_part string, injury_type string, second_raw_injury string, second_body_part string, second_injury_type string")
     got = {r.id: (r.raw_injury, r.injury_type, r.second_injury_type) for r in s.severe_first(df).collect()}
     assert got == {1: ("b", "tear", "strain"), 2: ("a", "strain", "partial tear"), 3: ("a", "strain", None)}
+
+
+def test_values_next_to_half_a_cent_are_rounded_as_in_sql(spark, tmp_path):
+    import oracle
+
+    from spanweave.plans import catalog, span_queries
+
+    prices = [109458.0, *(109000.0 + 11 * i for i in range(3000))]
+    ts = dt.datetime(1995, 3, 1)
+    spark.createDataFrame([(i, i, "F", p, ts) for i, p in enumerate(prices)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(len(prices)).select(F.col("id").alias("c_custkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    sql = catalog.oracle_sql()["span_values"]
+    mine, theirs = oracle.both(spark, oracle.connect(str(tmp_path)), span_queries.span_values, sql, str(tmp_path))
+    assert mine == theirs and len(mine) == len(prices)
+
+
+def test_terms_are_found_as_by_a_list_of_them(spark):
+    rnd = random.Random(3)
+    terms = list(dict.fromkeys([*X.SIDES, *X.BODY_TERMS, *X.INJURY_TERMS]))
+    parts = [*terms, "x", "10-day", "-", "_", "tommy", "ulnar collateral"]
+    texts = ["".join(rnd.choice(parts) + rnd.choice([" ", " ", "", "-", "."]) for _ in range(8)) for _ in range(2000)]
+    plain = re.compile(rf"(?<![a-z0-9])({'|'.join(re.escape(t) for t in sorted(terms, key=lambda t: (-len(t), t)))})(?![a-z0-9])")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.mentions(F.col("t"), terms).alias("found")).collect()
+    assert all(r.found == plain.findall(r.t) for r in rows)
+    assert X._trie(["tear", "torn", "t", "a-b"]) == r"(?:t(?:ear|orn)?|a\-b)"
