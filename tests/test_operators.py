@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanweave.functions import scalars as S
-from spanweave.operators import aggregates, checks, facets, schemas, tables
+from spanweave.operators import aggregates, checks, facets, joins, schemas, tables
 from spanweave.operators.joins import asof_join, count_between, overlap_join
 from spanweave.operators.windows import island_ids, keep_fewest_nulls
 from spanweave.plans.models import Model, Warehouse
@@ -273,3 +273,18 @@ def test_points_in_spans_equal_a_count_of_pairs(spark, slice_days):
             want[i] = len({x for q, t, x in points if q == k and t is not None and x is not None and a < t <= b})
     assert sorted((r.i, r.n) for r in got.collect()) == sorted((i, n) for i, n in want.items() if n)
     assert count_between(left, right.where(F.lit(False)), ["k"], "a", "b", "t", "x", "n", slice_days).count() == 0
+
+
+def test_only_keys_with_many_spans_are_sliced(spark, monkeypatch):
+    rnd = random.Random(5)
+    day = lambda: None if rnd.random() < 0.05 else dt.date(2021, 1, 1) + dt.timedelta(rnd.randrange(400))
+    key = lambda: rnd.choice(["a", "a", "a", "b", "c", None])
+    left = spark.createDataFrame([(i // 2, key(), day(), day()) for i in range(80)], "id int, k string, a date, b date")
+    right = spark.createDataFrame([(key(), day(), day(), i) for i in range(60)], "k string, x date, y date, v int")
+    for how in ("inner", "left"):
+        want = None
+        for limit, n in ((0, None), (0, 20), (12, 20), (1000, 20)):
+            monkeypatch.setattr(joins, "SLICED_ROWS", limit)
+            got = sorted(str(tuple(r)) for r in overlap_join(left, right, ["k"], ("a", "b"), ("x", "y"), how, slice_days=n).collect())
+            want = want or got
+            assert got == want, (how, limit)
