@@ -198,3 +198,12 @@ def test_the_wide_table_is_planned_fast_with_one_shuffle(spark):
     plan = wide.wide_history(df, "p", ["d", "g"], "pitches", wide_queries.KINDS, wide_queries.METRICS)._jdf.queryExecution().executedPlan().toString()
     assert time.perf_counter() - began < 20  # 3 s on a free machine
     assert plan.count("Exchange") == 1
+
+
+def test_what_each_outing_tells_is_listed_in_place_of_its_json(spark):
+    rows = [("a", dt.date(2024, 1, d), f"g{d}", d * 1.0, d, d % 2 == 0) for d in range(1, 7)]
+    df = spark.createDataFrame(rows, "p string, d date, g string, ff_x double, pitches int, role_switch boolean")
+    args = (df, "p", ["d", "g"], "pitches", ["ff"], ["x"], 3)
+    whole = {r.g: json.loads(r.last3_outings_json) for r in wide.wide_history(*args, facts=["g"]).collect()}
+    once = {r.g: r.last3_outings for r in wide.wide_history(*args, facts=["g"], each=lambda text: f"get_json_object({text}, '$.g')").collect()}
+    assert once == {g: [x["g"] for x in listed] for g, listed in whole.items()} and once["g5"] == ["g4", "g3", "g2"]
