@@ -6,8 +6,8 @@ product with v. Any ``radius`` places are orthogonal to some v, so two fingerpri
 one mask at least: no pair within the radius is lost. A bucket with more than LIMIT fingerprints is split by the same
 construction over the places that its mask leaves out, until buckets are small by construction; nothing is dropped.
 
-``fingerprints`` and ``classes`` link texts by the fingerprints' distance alone. ``near_duplicates`` links them by the Jaccard similarity of
-five-word shingles alone: fingerprints miss many of such pairs, so it finds them by an exact join on prefixes of the shingles.
+``fingerprints`` and ``classes`` link texts by the fingerprints' distance alone. ``near_duplicates`` takes the pairs that fingerprints link, confirms them by the
+Jaccard similarity of five-word shingles, and adds the pairs so similar that fingerprints miss by an exact join on prefixes of the shingles.
 
 Defined cases: a text without words (null, too) has the fingerprint zero and links like any other; null doc_ids count as
 greater than any; repeated rows stay repeated; an empty table gives an empty result; extra columns are ignored.
@@ -335,25 +335,39 @@ def _confirm(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return rows.select("u", "v", "a", "b").mapInPandas(run, "u long, v long")
 
 
+def _by_fingerprint(keyed: DataFrame) -> DataFrame:
+    """(u, v) of text hashes: what joins all texts whose fingerprints link, by one text of each fingerprint."""
+    rows = materialize(fingerprints(keyed.withColumn("doc_id", F.col("node"))).select("node", "fp").distinct(), "near-fingerprints")
+    first = materialize(rows.groupBy("fp").agg(F.min("node").alias("first")), "near-first")
+    equal = rows.join(first, "fp").where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v"))
+    ends = (first.select(F.col("fp").alias(c), F.col("first").alias(f"_{c}")) for c in ("u", "v"))
+    linked = links(first.select("fp"))
+    for end, c in zip(ends, ("u", "v"), strict=True):
+        linked = linked.join(end, c)
+    return equal.unionByName(linked.select(F.col("_u").alias("u"), F.col("_v").alias("v"))).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): classes of distinct texts, by their hashes, for those not alone.
 
-    Two texts are linked if the Jaccard similarity of their five-word shingles is high enough. The join by prefixes and places finds all such
-    pairs. Texts with a key in common are first compared with one of them, ROUNDS times, then with all that aren't yet in their class.
+    Two texts are linked if the Jaccard similarity of their five-word shingles is high enough. SimHash comes first: pairs that its fingerprints link and
+    the shingles confirm make the first classes. Its radius misses many pairs, so a join by prefixes and places finds the rest, all such pairs that
+    aren't yet of one class. Texts with a key in common are first compared with one of them, ROUNDS times, then with all that aren't yet in their class.
     """
     keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
     rows = materialize(_not_alone(_prefixes(keyed.dropDuplicates(["node"]), similarity)), "near-keys")
     texts = materialize(keyed.join(rows.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "near-texts")
-    found = roots = None
+    found = materialize(_confirm(materialize(_by_fingerprint(keyed), "near-linked"), texts, similarity), "near-by-fingerprint")
+    roots = components(found)
     for k in range(ROUNDS + 1):
-        named = rows.withColumn("root", F.col("node")) if roots is None else rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("turn"), "node", "size", "pos", "root")).alias("b"))
         mixed = mixed.where("low <> high").select("key", "b")
         own = named.join(mixed, "key").select("key", F.struct("node", "size", "pos", "root").alias("a"), "b") if k < ROUNDS else _all_of(named, mixed.select("key"))
         overlap = F.least(F.expr("a.size - a.pos"), F.expr("b.size - b.pos")) >= similarity / (1 + similarity) * F.expr("a.size + b.size") - 1e-9
         pairs = own.where((F.col("a.root") != F.col("b.root")) & overlap).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
         good = materialize(_confirm(materialize(pairs, "near-pairs"), texts, similarity), "near-confirmed")
-        found = good if found is None else found.unionByName(good)
+        found = found.unionByName(good)
         roots = components(found)
     return roots
 

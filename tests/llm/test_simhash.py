@@ -128,3 +128,19 @@ def test_near_duplicates_equal_brute_force_over_all_pairs(spark, monkeypatch):
         got[node[r.node]] = node[r.root]
     same = lambda x: {frozenset(i for i in range(len(x)) if x[i] == v) for v in set(x)}
     assert same(got) == same(root) and linked > 30
+
+
+def test_near_duplicates_come_by_fingerprints_first(spark, monkeypatch):
+    rnd = random.Random(2)
+    long = [[f"w{rnd.randrange(9000)}" for _ in range(3000)] for _ in range(6)]
+    texts = [" ".join(t) for t in long] + [" ".join([*t[:-1], "other"]) for t in long] + ["", "few words", "FEW words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    linked = []
+    plain = s._by_fingerprint
+    monkeypatch.setattr(s, "_by_fingerprint", lambda keyed: linked.append(plain(keyed)) or linked[0])
+    monkeypatch.setattr(s, "ROUNDS", -1)  # no join by prefixes
+    node = {r.node: r.doc_id for r in docs.select("doc_id", F.xxhash64("text").alias("node")).collect()}
+    got = {frozenset((node[r.node], node[r.root])) for r in s.near_duplicates(docs).collect()}
+    fps = [brute_fingerprint(t) for t in texts]
+    want = {frozenset((i, i + 6)) for i in range(6) if (fps[i] ^ fps[i + 6]).bit_count() <= 2} | {frozenset((13, 14))}
+    assert got == want and len(want) > 3 and linked
