@@ -1,11 +1,18 @@
 """Stupid-backoff scores of documents under the n-gram counts of all other documents.
 
-Documents are dealt out to batches of about BATCH_CHARS characters by a hash. Each batch's n-grams of 1 to ``order`` words become rows
-of a 64-bit hash and its count there, so that a frequent n-gram has one row for each batch, not one for each place. The count tables are these
-rows grouped by hash, over all documents and with every n-gram seen; joined back to the rows, they give each batch the counts of its own n-grams.
-One that no other batch has needs no row back. A word's score is that of the longest n-gram ending there that another document
-has, too: its count over that of its first words, times ALPHA for every word left out, where both counts are without the document's own.
-A word that no other document has counts as one seen once. The score of a document is the sum of natural logarithms over its words.
+Documents are dealt out to batches of about BATCH_CHARS characters by a hash. Each batch's n-grams become rows of a 64-bit hash and its count
+there, so that a frequent n-gram has one row for each batch, not one for each place. The counts are sums of these rows by hash, over all documents and
+with every n-gram that can be found; set beside the rows, they give each batch the counts of its own n-grams, listed in the order of their hashes.
+One that no other batch has needs no row back.
+
+An n-gram that another document has, too, consists of two shorter ones by a word that another document has. So of three words or more only those are
+counted whose two parts were seen elsewhere: all others are known to stand nowhere else, and nothing is left out. What is counted at once are the
+n-grams in one of ROUNDS ranges of hashes, of one and two words together, then of each order alone; each round's shuffle files go at its end, so that
+the disk holds those of one round.
+
+A word's score is that of the longest n-gram ending there that another document has, too: its count over that of its first words, times ALPHA for every word
+left out, where both counts are without the document's own. A word that no other document has counts as one seen once. The score of a document is the
+sum of natural logarithms over its words.
 
 Without its own n-grams a document is not its own evidence: one that occurs twice scores high, one unlike all others low.
 
@@ -16,104 +23,180 @@ texts are evidence for each other); an empty table gives an empty result; extra
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
-from spanweave.llm.common import documents
+from spanweave.llm.common import documents, materialize
 
 QUERY = "op7_lm_scoring"
 ORACLE_SQL = None  # a trigram table and its backoff over whole texts are slow in SQL; tests compare with a direct count of all n-grams
 ORDER = 3
 ALPHA = 0.4
 BATCH_CHARS = 4_000_000
+#: Ranges of hashes that are counted one after the other.
+ROUNDS = 3
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes a query's shuffle files at its end, not at some later garbage collection of the driver."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def batched(docs: DataFrame, batch_chars: int = BATCH_CHARS) -> DataFrame:
+    """doc_id, text (null: empty) and the batch of every row."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    chars = texts.agg(F.sum(F.length("text"))).first()[0]
+    return texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, math.ceil((chars or 0) / batch_chars)))))
 
 
-def _grams(found: W.Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the n-gram that ends at each word, and whether its text has so many words before it."""
+def _hashes(found: W.Words, n: int) -> np.ndarray:
+    """Hash of the n-gram that ends at each word, of no meaning where its text has fewer words before it."""
     own = np.zeros(len(found.hashes), np.uint64)
     own[n - 1 :] = W.grams(found.hashes, n) ^ W.mix(np.array([n], np.uint64))
-    place = np.arange(len(own)) - np.repeat(np.cumsum(found.counts) - found.counts, found.counts)
-    return own, place >= n - 1
+    return own
+
+
+def _bounds(grams: np.ndarray) -> np.ndarray:
+    """Where each round's range of hashes begins among sorted ones, and their number."""
+    firsts = np.array([(r << 64) // ROUNDS for r in range(ROUNDS)], np.uint64)
+    return np.append(np.searchsorted(grams, firsts), len(grams))
+
+
+def _places(found: W.Words, n: int, lower: np.ndarray | None) -> np.ndarray:
+    """Words at which an n-gram ends that may stand elsewhere; of three words or more, by the counts elsewhere of the next lower order."""
+    place = np.arange(len(found.hashes)) - np.repeat(np.cumsum(found.counts) - found.counts, found.counts)
+    whole = place >= n - 1
+    if n > 2:
+        seen = lower > 0
+        whole[1:] &= seen[1:] & seen[:-1]
+    return np.flatnonzero(whole)
+
+
+def _elsewhere(found: W.Words, n: int, at: np.ndarray, totals: dict[int, np.ndarray]) -> np.ndarray:
+    """Of the n-gram ending at each word, the count in all other documents; totals are those of each round, 0 where no other batch has it."""
+    grams, which, here = np.unique(_hashes(found, n)[at], return_inverse=True, return_counts=True)
+    total, bounds = here.copy(), _bounds(grams)
+    for r, known in totals.items():
+        np.copyto(total[bounds[r] : bounds[r] + len(known)], known, where=known > 0)
+    text = np.repeat(np.arange(len(found.counts)), found.counts)[at]
+    own, again = np.ones(len(at), np.int64), np.flatnonzero(here[which] > 1)
+    _, pair, in_text = np.unique(text[again] * np.int64(len(here) or 1) + which[again], return_inverse=True, return_counts=True)
+    own[again] = in_text[pair]
+    out = np.zeros(len(found.hashes), np.int64)
+    out[at] = total[which] - own
+    return out
 
 
-def batched(docs: DataFrame, batch_chars: int = BATCH_CHARS) -> tuple[DataFrame, int]:
-    """doc_id, text (null: empty) and the batch of every row; and the words of all rows."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n_words = F.aggregate(F.split("text", "[\\x20\\x09-\\x0D]+"), F.lit(0).cast("long"), lambda n, w: n + (w != "").cast("long"))
-    chars, words = texts.agg(F.sum(F.length("text")), F.sum(n_words)).first()
-    return texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, math.ceil((chars or 0) / batch_chars))))), words or 0
+def _all_elsewhere(found: W.Words, orders: range, known: pd.DataFrame) -> list[np.ndarray]:
+    """The counts of ``_elsewhere`` for successive orders, of which the first is 1 or 2."""
+    out: list[np.ndarray] = []
+    for n in orders:
+        own = known[known["n"] == n]
+        totals = {r: np.asarray(t, np.int64) for r, t in zip(own["round"], own["totals"], strict=True)}
+        out.append(_elsewhere(found, n, _places(found, n, out[-1] if out else None), totals))
+    return out
 
 
-def ngrams(rows: DataFrame, order: int = ORDER) -> DataFrame:
-    """(batch, gram, n): each n-gram of 1 to ``order`` words of a batch, by its hash, and how often it stands there."""
+def ngrams(rows: DataFrame, known: DataFrame | None, orders: range, turn: int) -> DataFrame:
+    """(batch, n, here, gram, nth): the n-grams of these orders that may stand in several documents and whose hashes are in a round's range.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = W.words(frame["text"].tolist())
+    ``gram`` is the hash, ``nth`` its place among the batch's of n words in the range, ``here`` how often the batch has it. ``known`` has the totals of all
+    lower orders; there are none for those of one and two words.
+    """
+
+    def run(texts: pd.DataFrame, counts: pd.DataFrame | None) -> pd.DataFrame:
+        found = W.words(texts["text"].tolist())
+        lower = None if counts is None else _all_elsewhere(found, range(2, orders[0]), counts)[-1]
         parts = []
-        for k in range(1, order + 1):
-            own, whole = _grams(found, k)
-            parts.append(np.unique(own[whole], return_counts=True))
-        grams, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pd.DataFrame({"batch": frame["batch"].iloc[0], "gram": grams.view(np.int64), "n": n})
+        for n in orders:
+            grams, here = np.unique(_hashes(found, n)[_places(found, n, lower)], return_counts=True)
+            a, b = _bounds(grams)[turn : turn + 2].tolist()
+            parts.append((np.full(b - a, n, np.int32), here[a:b], grams[a:b].view(np.int64), np.arange(b - a, dtype=np.int32)))
+        n, here, grams, nth = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pd.DataFrame({"batch": texts["batch"].iloc[0] if len(texts) else 0, "n": n, "here": here, "gram": grams, "nth": nth})
+
+    schema = "batch long, n int, here long, gram long, nth int"
+    if known is None:
+        return rows.groupBy("batch").applyInPandas(lambda texts: run(texts, None), schema)
+    return rows.groupBy("batch").cogroup(known.where("n > 1").groupBy("batch")).applyInPandas(run, schema)
+
+
+def with_totals(grams: DataFrame) -> DataFrame:
+    """(batch, n, nth, total) of the n-grams that several batches have: each row with the count over all batches, which is the count table joined to
+    the rows that it was made of. Both in one window, for which the rows are shuffled once; an n-gram has one row a batch at most.
+    """
+    rows = grams.withColumn("total", F.sum("here").over(Window.partitionBy("gram")))
+    return rows.where("total > here").select("batch", "n", "nth", "total")
+
 
-    return rows.groupBy("batch").applyInPandas(run, "batch long, gram long, n long")
+def listed(counted: DataFrame, turn: int) -> DataFrame:
+    """(batch, n, round, totals): a batch's (nth, total) of n words as a list, with 0 for those that have no row."""
 
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        nth = frame["nth"].to_numpy(np.int64)
+        totals = np.zeros(nth.max() + 1, np.int64)
+        totals[nth] = frame["total"]
+        return pd.DataFrame({"batch": frame["batch"].iloc[:1], "n": frame["n"].iloc[0], "round": turn, "totals": [totals]})
+
+    return counted.groupBy("batch", "n").applyInPandas(run, "batch long, n int, round int, totals array<long>")
 
-def count_tables(grams: DataFrame) -> DataFrame:
-    """(gram, total, n_batches) over all batches."""
-    return grams.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("n_batches"))
 
+def backoff(counts: list[np.ndarray], alpha: float = ALPHA) -> tuple[np.ndarray, np.ndarray]:
+    """Log score of each word, and whether it is that of the word alone, from which the logarithm of the number of words is still to be taken.
 
-def backoff(counts: list[np.ndarray], total: np.ndarray, alpha: float = ALPHA) -> np.ndarray:
-    """Log score of each word; counts[n - 1] has that of the n-gram ending there, 0 where there is none, and total that of all words."""
-    score = np.log(np.maximum(counts[0], 1) / np.maximum(total, 1)) + (len(counts) - 1) * np.log(alpha)
+    counts[n - 1] has the count of the n-gram ending at each word, 0 where there is none.
+    """
+    score = np.log(np.maximum(counts[0], 1)) + (len(counts) - 1) * np.log(alpha)
+    alone = np.ones(len(score), bool)
     for n in range(2, len(counts) + 1):
-        before = np.append(0, counts[n - 2][:-1])
-        seen = (counts[n - 1] > 0) & (before > 0)
-        score = np.where(seen, np.log(np.maximum(counts[n - 1], 1) / np.maximum(before, 1)) + (len(counts) - n) * np.log(alpha), score)
-    return score
-
-
-def _without_own(found: W.Words, n: int, known: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Of the n-gram ending at each word, the count in all other documents; totals are those of the sorted ``known`` ones."""
-    own, whole = _grams(found, n)
-    _, where, here = np.unique(own[whole], return_inverse=True, return_counts=True)
-    text = np.repeat(np.arange(len(found.counts)), found.counts)[whole]
-    _, pair, in_text = np.unique(text * np.int64(len(here) or 1) + where, return_inverse=True, return_counts=True)
-    count = here[where]
-    if len(known):
-        at = np.minimum(np.searchsorted(known, own[whole]), len(known) - 1)
-        count = np.where(known[at] == own[whole], totals[at], count)
-    out = np.zeros(len(own), np.int64)
-    out[whole] = count - in_text[pair]
-    return out
+        at = np.flatnonzero(counts[n - 1])
+        score[at] = np.log(counts[n - 1][at] / counts[n - 2][at - 1]) + (len(counts) - n) * np.log(alpha)
+        alone[at] = False
+    return score, alone
 
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_chars: int = BATCH_CHARS) -> DataFrame:
     """doc_id, n_words, log_score and mean_log_score of every document."""
-    rows, words = batched(docs, batch_chars)
-    by_gram = ngrams(rows, order).repartition("gram")
-    tables = count_tables(by_gram)
-    known = by_gram.join(tables.where("n_batches > 1"), "gram").select("batch", "gram", "total")
+    rows, known = batched(docs, batch_chars), None
 
     def add(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         found = W.words(texts["text"].tolist())
-        grams = counts["gram"].to_numpy(np.int64).view(np.uint64)
-        order_of = np.argsort(grams)
-        grams, totals = grams[order_of], counts["total"].to_numpy(np.int64)[order_of]
-        others = np.repeat(words - found.counts, found.counts)
-        each = backoff([_without_own(found, n, grams, totals) for n in range(1, order + 1)], others, alpha)
-        sums = np.concatenate([[0.0], np.cumsum(each)])
+        each, alone = backoff(_all_elsewhere(found, range(1, order + 1), counts), alpha)
         ends = np.cumsum(found.counts)
-        out = pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "n_words": found.counts})
-        return out.assign(log_score=sums[ends] - sums[ends - found.counts])
 
-    scored = rows.groupBy("batch").cogroup(known.groupBy("batch")).applyInPandas(add, "doc_id long, n_words long, log_score double")
-    return scored.withColumn("mean_log_score", F.expr("try_divide(log_score, n_words)"))
+        def by_text(values: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(values)])
+            return sums[ends] - sums[ends - found.counts]
+
+        out = pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "n_words": found.counts})
+        return out.assign(n_alone=by_text(alone), log_score=by_text(each))
+
+    with _shuffle_files_removed(docs.sparkSession):
+        for orders in (range(1, min(order, 2) + 1), *(range(n, n + 1) for n in range(3, order + 1))):
+            lower = known
+            for turn in range(ROUNDS):
+                found = materialize(listed(with_totals(ngrams(rows, lower, orders, turn)), turn), "counts")
+                known = found if known is None else known.unionByName(found)
+        grouped = rows.groupBy("batch").cogroup(known.groupBy("batch"))
+        scored = materialize(grouped.applyInPandas(add, "doc_id long, n_words long, n_alone long, log_score double"), "scores")
+    words = scored.agg(F.sum("n_words")).first()[0] or 0
+    others = F.greatest(F.lit(words) - F.col("n_words"), F.lit(1))
+    out = scored.select("doc_id", "n_words", (F.col("log_score") - F.col("n_alone") * F.log(others)).alias("log_score"))
+    return out.withColumn("mean_log_score", F.expr("try_divide(log_score, n_words)"))
 
 
 def query(spark, sf_dir):

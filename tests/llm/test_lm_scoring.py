@@ -69,3 +69,24 @@ def test_a_copy_scores_above_a_text_alone(spark):
     texts = [" ".join(rnd.choices("a b c d e f g h i j k l m n o p".split(), k=40)) for _ in range(20)]
     got = {r.doc_id: r.mean_log_score for r in m.score(spark.createDataFrame(list(enumerate([*texts, texts[7]])), "doc_id long, text string")).collect()}
     assert min(got[7], got[20]) > max(v for k, v in got.items() if k not in (7, 20))
+
+
+def test_shorter_ngrams_decide_what_is_counted_and_shuffle_files_go(spark, tmp_path):
+    rnd = random.Random(7)
+    shared = [" ".join(rnd.choice("a b c d".split()) for _ in range(30)) for _ in range(20)]
+    texts = [*shared, *(" ".join(f"w{i}x{j}" for j in range(200)) for i in range(20))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = m.batched(docs, 500)
+    known = None
+    for turn in range(m.ROUNDS):
+        found = m.listed(m.with_totals(m.ngrams(rows, None, range(1, 3), turn)), turn)
+        known = found if known is None else known.unionByName(found)
+    # triples of which one document alone has a pair are not counted; all others are, in one round each
+    triples = [{r.gram for r in m.ngrams(rows, known, range(3, 4), turn).collect()} for turn in range(m.ROUNDS)]
+    every = [set(zip(t.split(), t.split()[1:], t.split()[2:])) for t in shared]
+    assert len(set.union(*every)) == sum(map(len, triples)) and not set.intersection(*triples)
+    before = spark.conf.get(m._CLEANUP)
+    want = brute(texts, 3)
+    for r in m.score(docs, batch_chars=500).collect():
+        assert r.log_score == pytest.approx(want[r.doc_id], abs=1e-6)
+    assert spark.conf.get(m._CLEANUP) == before
