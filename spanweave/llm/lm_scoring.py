@@ -1,9 +1,9 @@
 """Stupid-backoff scores of documents under the n-gram counts of all other documents.
 
-Documents are dealt out to batches of about BATCH_CHARS characters by a hash. Each batch's n-grams become rows of a 64-bit hash and its count
-there, so that a frequent n-gram has one row for each batch, not one for each place. The counts are sums of these rows by hash, over all documents and
-with every n-gram that can be found; set beside the rows, they give each batch the counts of its own n-grams, listed in the order of their hashes.
-One that no other batch has needs no row back.
+Documents are dealt out to batches of about BATCH_CHARS characters by a hash. A batch has each of its n-grams as a 64-bit hash and its count
+there, so that a frequent n-gram stands once for each batch, not once for each place. The counts are sums over equal hashes, over all documents and
+with every n-gram that can be found. Ranges of hashes are parts, whose number grows with the batches: a batch sends a part one row with the list of its
+n-grams there, the part adds up equal ones and sends the row back with the counts over all batches.
 
 An n-gram that another document has, too, consists of two shorter ones by a word that another document has. So of three words or more only those are
 counted whose two parts were seen elsewhere: all others are known to stand nowhere else, and nothing is left out. What is counted at once are the
@@ -28,7 +28,8 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
@@ -40,7 +41,9 @@ ORDER = 3
 ALPHA = 0.4
 BATCH_CHARS = 4_000_000
 #: Ranges of hashes that are counted one after the other.
-ROUNDS = 3
+ROUNDS = 2
+#: Batches for each part that counts n-grams; of one round a batch has some 300,000.
+BATCHES_A_PART = 5
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -56,11 +59,16 @@ def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
-def batched(docs: DataFrame, batch_chars: int = BATCH_CHARS) -> DataFrame:
+def batches_of(docs: DataFrame, batch_chars: int = BATCH_CHARS) -> int:
+    """Number of batches of about so many characters."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0]
+    return max(1, math.ceil((chars or 0) / batch_chars))
+
+
+def batched(docs: DataFrame, batch_chars: int = BATCH_CHARS, batches: int | None = None) -> DataFrame:
     """doc_id, text (null: empty) and the batch of every row."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chars = texts.agg(F.sum(F.length("text"))).first()[0]
-    return texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, math.ceil((chars or 0) / batch_chars)))))
+    return texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches or batches_of(docs, batch_chars))))
 
 
 def _hashes(found: W.Words, n: int) -> np.ndarray:
@@ -86,12 +94,12 @@ def _places(found: W.Words, n: int, lower: np.ndarray | None) -> np.ndarray:
     return np.flatnonzero(whole)
 
 
-def _elsewhere(found: W.Words, n: int, at: np.ndarray, totals: dict[int, np.ndarray]) -> np.ndarray:
-    """Of the n-gram ending at each word, the count in all other documents; totals are those of each round, 0 where no other batch has it."""
+def _elsewhere(found: W.Words, n: int, at: np.ndarray, totals: pd.DataFrame) -> np.ndarray:
+    """Of the n-gram ending at each word, the count in all other documents; totals has lists of (round, first, totals); others are those of this batch alone."""
     grams, which, here = np.unique(_hashes(found, n)[at], return_inverse=True, return_counts=True)
     total, bounds = here.copy(), _bounds(grams)
-    for r, known in totals.items():
-        np.copyto(total[bounds[r] : bounds[r] + len(known)], known, where=known > 0)
+    for r, first, known in zip(totals["round"], totals["first"], totals["totals"], strict=True):
+        total[bounds[r] + first : bounds[r] + first + len(known)] = known
     text = np.repeat(np.arange(len(found.counts)), found.counts)[at]
     own, again = np.ones(len(at), np.int64), np.flatnonzero(here[which] > 1)
     _, pair, in_text = np.unique(text[again] * np.int64(len(here) or 1) + which[again], return_inverse=True, return_counts=True)
@@ -105,54 +113,67 @@ def _all_elsewhere(found: W.Words, orders: range, known: pd.DataFrame) -> list[n
     """The counts of ``_elsewhere`` for successive orders, of which the first is 1 or 2."""
     out: list[np.ndarray] = []
     for n in orders:
-        own = known[known["n"] == n]
-        totals = {r: np.asarray(t, np.int64) for r, t in zip(own["round"], own["totals"], strict=True)}
-        out.append(_elsewhere(found, n, _places(found, n, out[-1] if out else None), totals))
+        out.append(_elsewhere(found, n, _places(found, n, out[-1] if out else None), known[known["n"] == n]))
     return out
 
 
-def ngrams(rows: DataFrame, known: DataFrame | None, orders: range, turn: int) -> DataFrame:
-    """(batch, n, here, gram, nth): the n-grams of these orders that may stand in several documents and whose hashes are in a round's range.
+def ngrams(rows: DataFrame, known: DataFrame | None, orders: range, turn: int, parts: int | None = None) -> DataFrame:
+    """The n-grams of these orders that may stand in several documents and whose hashes are in a round's range.
 
-    ``gram`` is the hash, ``nth`` its place among the batch's of n words in the range, ``here`` how often the batch has it. ``known`` has the totals of all
-    lower orders; there are none for those of one and two words.
+    With ``parts`` (batch, n, part, first, here, gram): of each batch and order a row for each of so many parts of the range, with lists in the order of
+    hashes. ``gram`` has the hashes, ``here`` how often the batch has them, and ``first`` is the first one's place among the batch's of n words in the range.
+    Without, (batch, n, here, gram, nth), a row for each n-gram. ``known`` has the totals of all lower orders; there are none for those of one and two words.
     """
+    edges = np.array([((turn * (parts or 1) + p) << 64) // (ROUNDS * (parts or 1)) for p in range(parts or 1)], np.uint64)
 
     def run(texts: pd.DataFrame, counts: pd.DataFrame | None) -> pd.DataFrame:
         found = W.words(texts["text"].tolist())
         lower = None if counts is None else _all_elsewhere(found, range(2, orders[0]), counts)[-1]
-        parts = []
+        lists = []
         for n in orders:
             grams, here = np.unique(_hashes(found, n)[_places(found, n, lower)], return_counts=True)
-            a, b = _bounds(grams)[turn : turn + 2].tolist()
-            parts.append((np.full(b - a, n, np.int32), here[a:b], grams[a:b].view(np.int64), np.arange(b - a, dtype=np.int32)))
-        n, here, grams, nth = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pd.DataFrame({"batch": texts["batch"].iloc[0] if len(texts) else 0, "n": n, "here": here, "gram": grams, "nth": nth})
-
-    schema = "batch long, n int, here long, gram long, nth int"
+            own = slice(*_bounds(grams)[turn : turn + 2].tolist())
+            grams, here = grams[own], here[own].astype(np.int32)
+            cuts = np.append(np.searchsorted(grams, edges), len(grams)).tolist()
+            lists += [(n, p, a, here[a:b], grams[a:b].view(np.int64)) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+        out = pd.DataFrame(lists, columns=["n", "part", "first", "here", "gram"])
+        out.insert(0, "batch", texts["batch"].iloc[0] if len(texts) else 0)
+        return out
+
+    schema = "batch long, n int, part int, first int, here array<int>, gram array<long>"
     if known is None:
-        return rows.groupBy("batch").applyInPandas(lambda texts: run(texts, None), schema)
-    return rows.groupBy("batch").cogroup(known.where("n > 1").groupBy("batch")).applyInPandas(run, schema)
+        out = rows.groupBy("batch").applyInPandas(lambda texts: run(texts, None), schema)
+    else:
+        out = rows.groupBy("batch").cogroup(known.where("n > 1").groupBy("batch")).applyInPandas(run, schema)
+    if parts:
+        return out
+    return out.select("batch", "n", "first", F.posexplode(F.arrays_zip("here", "gram"))).select("batch", "n", "col.*", (F.col("first") + F.col("pos")).alias("nth"))
 
 
 def with_totals(grams: DataFrame) -> DataFrame:
-    """(batch, n, nth, total) of the n-grams that several batches have: each row with the count over all batches, which is the count table joined to
-    the rows that it was made of. Both in one window, for which the rows are shuffled once; an n-gram has one row a batch at most.
-    """
-    rows = grams.withColumn("total", F.sum("here").over(Window.partitionBy("gram")))
-    return rows.where("total > here").select("batch", "n", "nth", "total")
+    """(batch, n, first, totals): beside a batch's n-grams, lists or single ones, their counts over all batches; they are shuffled once, by their part."""
+    if "part" not in grams.columns:
+        grams = grams.select("batch", "n", F.lit(0).alias("part"), F.col("nth").alias("first"), F.array("here").alias("here"), F.array("gram").alias("gram"))
+
+    def run(rows: pa.Table) -> pa.Table:
+        lists = rows["gram"].combine_chunks()
+        gram, here = lists.flatten().to_numpy(), rows["here"].combine_chunks().flatten().to_numpy()
+        order = np.argsort(gram)
+        own = gram[order]
+        firsts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        sums = np.add.reduceat(here[order], firsts, dtype=np.int64)
+        total = np.empty(len(gram), np.int64)
+        total[order] = np.repeat(sums, np.diff(np.append(firsts, len(gram))))
+        ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy())).astype(np.int32)
+        schema = pa.schema([rows.schema.field(c) for c in ("batch", "n", "first")] + [("totals", lists.type)])
+        return pa.table([rows["batch"], rows["n"], rows["first"], pa.ListArray.from_arrays(ends, pa.array(total)).cast(lists.type)], schema)
+
+    return grams.groupBy("part").applyInArrow(run, "batch long, n int, first int, totals array<long>")
 
 
 def listed(counted: DataFrame, turn: int) -> DataFrame:
-    """(batch, n, round, totals): a batch's (nth, total) of n words as a list, with 0 for those that have no row."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        nth = frame["nth"].to_numpy(np.int64)
-        totals = np.zeros(nth.max() + 1, np.int64)
-        totals[nth] = frame["total"]
-        return pd.DataFrame({"batch": frame["batch"].iloc[:1], "n": frame["n"].iloc[0], "round": turn, "totals": [totals]})
-
-    return counted.groupBy("batch", "n").applyInPandas(run, "batch long, n int, round int, totals array<long>")
+    """(batch, n, round, first, totals): the lists of one round."""
+    return counted.select("batch", "n", F.lit(turn).alias("round"), "first", "totals")
 
 
 def backoff(counts: list[np.ndarray], alpha: float = ALPHA) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +192,8 @@ def backoff(counts: list[np.ndarray], alpha: float = ALPHA) -> tuple[np.ndarray,
 
 def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_chars: int = BATCH_CHARS) -> DataFrame:
     """doc_id, n_words, log_score and mean_log_score of every document."""
-    rows, known = batched(docs, batch_chars), None
+    batches = batches_of(docs, batch_chars)
+    rows, known, parts = batched(docs, batches=batches), None, math.ceil(batches / BATCHES_A_PART)
 
     def add(texts: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         found = W.words(texts["text"].tolist())
@@ -189,7 +211,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_chars
         for orders in (range(1, min(order, 2) + 1), *(range(n, n + 1) for n in range(3, order + 1))):
             lower = known
             for turn in range(ROUNDS):
-                found = materialize(listed(with_totals(ngrams(rows, lower, orders, turn)), turn), "counts")
+                found = materialize(listed(with_totals(ngrams(rows, lower, orders, turn, parts)), turn), "counts")
                 known = found if known is None else known.unionByName(found)
         grouped = rows.groupBy("batch").cogroup(known.groupBy("batch"))
         scored = materialize(grouped.applyInPandas(add, "doc_id long, n_words long, n_alone long, log_score double"), "scores")

@@ -90,3 +90,28 @@ def test_shorter_ngrams_decide_what_is_counted_and_shuffle_files_go(spark, tmp_p
     for r in m.score(docs, batch_chars=500).collect():
         assert r.log_score == pytest.approx(want[r.doc_id], abs=1e-6)
     assert spark.conf.get(m._CLEANUP) == before
+
+
+def test_counts_go_in_lists_not_in_a_row_for_each_ngram(spark):
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("a b c d e f g h i j".split()) for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, parts = m.batched(docs, 500), 3
+    every = Counter(tuple(w[i : i + n]) for w in map(str.split, texts) for n in (1, 2) for i in range(len(w) - n + 1))
+    totals, single, lists = [], 0, 0
+    for turn in range(m.ROUNDS):
+        sent = m.ngrams(rows, None, range(1, 3), turn, parts)
+        # a row for each batch, order and part at most, ordered by hashes; the same n-grams as one by one
+        got = sent.collect()
+        assert len({(r.batch, r.n, r.part) for r in got}) == len(got)
+        flat = {(r.batch, r.n, g, h, r["first"] + i) for r in got for i, (g, h) in enumerate(zip(r.gram, r.here))}
+        assert flat == {(r.batch, r.n, r.gram, r.here, r.nth) for r in m.ngrams(rows, None, range(1, 3), turn).collect()}
+        by_hash = {}
+        for _, _, g, h, _ in flat:
+            by_hash[g] = by_hash.get(g, 0) + h
+        totals += by_hash.values()
+        back = {(r.batch, r.n, r["first"]): r.totals for r in m.with_totals(sent).collect()}
+        assert back == {(r.batch, r.n, r["first"]): [by_hash[g] for g in r.gram] for r in got}
+        single, lists = single + len(flat), lists + len(got)
+    assert sorted(totals) == sorted(every.values())
+    assert lists * 5 < single
