@@ -136,9 +136,13 @@ def rebuild_entities(path: str, entity: str, changed: DataFrame, build: Callable
     """Recompute all rows of changed entities, a table's other rows stay; the table is in partitions by a hash of the entity.
 
     ``build`` is given a function that keeps an input's rows of changed entities, for each of its inputs, and returns the new rows: a chain of models sees the
-    whole history of an entity or nothing of it. An entity without new rows loses its old ones. Changed entities are broadcast if they are counted to be few.
+    whole history of an entity or nothing of it. An entity without new rows loses its old ones. Changed entities are found once and written beside the table,
+    since every input is joined with them; they are broadcast if they are counted to be few.
     """
-    changed = changed.select(entity).where(F.col(entity).isNotNull()).distinct()
+    spark, noted = changed.sparkSession, f"{path}.changed"
+    found = changed.select(entity).where(F.col(entity).isNotNull()).distinct()
+    found.write.mode("overwrite").parquet(noted)
+    changed = spark.read.schema(found.schema).parquet(noted)
     few = changed.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
     keys = F.broadcast(changed) if few else changed
     rows = build(lambda df: df.join(keys, entity, "left_semi")).withColumn(bucket, bucket_of(entity, buckets))
@@ -147,6 +151,7 @@ def rebuild_entities(path: str, entity: str, changed: DataFrame, build: Callable
         return rows if old is None else old.join(keys, entity, "left_anti").unionByName(rows, allowMissingColumns=True)
 
     replace_partitions(path, [bucket], changed.select(bucket_of(entity, buckets).alias(bucket)), make)
+    _delete(spark, noted)
 
 
 def reach_of(dates: DataFrame, before: int, after: int) -> DataFrame:

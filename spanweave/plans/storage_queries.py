@@ -59,9 +59,13 @@ _NEW = "1998-01-01"
 
 @register("spans_of_changed_people", f"WITH {S._CHAIN} SELECT * FROM chain_spans")
 def spans_of_changed_people(spark, sf_dir):
-    """The chain of spans is built on what was known before a day, then for people with news only; the same as if it were built at once."""
-    path = tables.new_folder(spark, "spans")
-    news, games = S._transactions(spark, sf_dir), S._appearances(spark, sf_dir)
+    """The chain of spans is built on what was known before a day, then for people with news only; the same as if it were built at once.
+
+    Games are line items joined with their orders, and are read five times: by both builds, and to find who changed. They are joined and written once.
+    """
+    path, seen = tables.new_folder(spark, "spans"), tables.new_folder(spark, "games")
+    S._appearances(spark, sf_dir).write.parquet(seen)
+    news, games = S._transactions(spark, sf_dir), spark.read.parquet(seen)
 
     def build(news, games):
         return lambda of: P.build_spans(S.told(P.placements(of(news))), of(news), S._calendar(spark), S._teams(spark), of(games), F.lit(S._AS_OF).cast("date")).drop("side", "injury_length", "currently_injured")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanweave.operators import partitions, tables
 from spanweave.operators.checks import Expectations
-from spanweave.plans import wide, wide_queries
+from spanweave.plans import storage_queries, wide, wide_queries
 from spanweave.plans.models import Model, Warehouse
 from spanweave.streaming import lookback
 
@@ -78,6 +78,42 @@ def test_entities_are_rebuilt_whole(spark, tmp_path):
     assert len(set(before) & set(files(path))) >= 4
 
 
+def counted(df, column, accumulator):
+    """The rows, each added to the accumulator whenever it is computed."""
+
+    def seen(_):
+        accumulator.add(1)
+        return True
+
+    return df.where(F.udf(seen, "boolean").asNondeterministic()(column))
+
+
+def test_changed_entities_are_found_once(spark, tmp_path):
+    path, n = f"{tmp_path}/t", spark.sparkContext.accumulator(0)
+    news = spark.createDataFrame([(p, d) for p in range(20) for d in range(3)], "person int, day int")
+    model = lambda of: of(news).join(of(news.groupBy("person").agg(F.max("day").alias("last"))), "person")
+    for _ in range(2):
+        partitions.rebuild_entities(path, "person", counted(news, "person", n), model, 4)
+    assert n.value == 2 * 60
+    assert rows(partitions.read_partitions(spark, path).drop("bucket")) == rows(model(lambda df: df))
+    assert not os.path.exists(f"{path}.changed")
+
+
+def test_games_are_joined_once_for_both_builds(spark, tmp_path, monkeypatch):
+    day = lambda n: dt.date(1997, 6, 1) + dt.timedelta(n)
+    orders = [(i, i % 10, day(37 * i % 400)) for i in range(60)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(i % 60, i % 7, day(31 * i % 420)) for i in range(150)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
+    n, games = spark.sparkContext.accumulator(0), storage_queries.S._appearances
+    want = storage_queries.S._spans(spark, str(tmp_path)).drop("side", "injury_length", "currently_injured")
+    names, want = want.columns, rows(want)
+    monkeypatch.setattr(storage_queries.S, "_appearances", lambda *a: counted(games(*a), "person_id", n))
+    out = storage_queries.spans_of_changed_people(spark, str(tmp_path))
+    assert n.value == 150
+    assert rows(out.select(*names)) == want and want
+
+
 def test_backfill_equals_a_full_build(spark, tmp_path):
     rnd = random.Random(3)
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
