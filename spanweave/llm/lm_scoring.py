@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -33,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
-from spanweave.llm.common import documents, materialize
+from spanweave.llm.common import CLEANUP as _CLEANUP  # noqa: F401
+from spanweave.llm.common import documents, materialize, shuffle_files_removed
 
 QUERY = "op7_lm_scoring"
 ORACLE_SQL = None  # a trigram table and its backoff over whole texts are slow in SQL; tests compare with a direct count of all n-grams
@@ -45,19 +45,6 @@ ROUNDS = 2
 #: Batches for each part that counts n-grams; of one round a batch has some 300,000.
 BATCHES_A_PART = 5
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
-    """Spark removes a query's shuffle files at its end, not at some later garbage collection of the driver."""
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
 
 def batches_of(docs: DataFrame, batch_chars: int = BATCH_CHARS) -> int:
     """Number of batches of about so many characters."""
@@ -207,7 +194,7 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, batch_chars
         out = pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "n_words": found.counts})
         return out.assign(n_alone=by_text(alone), log_score=by_text(each))
 
-    with _shuffle_files_removed(docs.sparkSession):
+    with shuffle_files_removed(docs.sparkSession):
         for orders in (range(1, min(order, 2) + 1), *(range(n, n + 1) for n in range(3, order + 1))):
             lower = known
             for turn in range(ROUNDS):

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm import words as W
-from spanweave.llm.common import documents, fresh, materialize, slices, with_rows_of
+from spanweave.llm.common import documents, fresh, materialize, shuffle_files_removed, slices, with_rows_of
 from spanweave.llm.line_dedup import cut
 
 QUERY = "op12_substring_dedup"
@@ -214,19 +214,20 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _anchors(texts: DataFrame, span: int) -> DataFrame:
-    """(name, a, n): how often each anchor stands in a text."""
+    """(name, a, b, n): how often each anchor stands in a text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            own, nodes = frame["text"].tolist(), frame["a"].to_numpy()
+            own, nodes = frame["text"].tolist(), frame[["a", "b"]].to_numpy()
             for a, b in slices(own, 1_000_000):
                 found = spans(W.words(own[a:b]).of_texts(), span)
                 order = np.lexsort((found.names, found.text))
                 text, names = found.text[order], found.names[order]
                 head = np.flatnonzero(np.append(True, (np.diff(text) != 0) | (names[1:] != names[:-1]))) if len(text) else []
-                yield pd.DataFrame({"name": names[head].view(np.int64), "a": nodes[a:b][text[head]], "n": np.diff(np.append(head, len(text)))})
+                node = nodes[a:b][text[head]]
+                yield pd.DataFrame({"name": names[head].view(np.int64), "a": node[:, 0], "b": node[:, 1], "n": np.diff(np.append(head, len(text)))})
 
-    return texts.select("a", "text").mapInPandas(run, "name long, a long, n int")
+    return texts.mapInPandas(run, "name long, a long, b long, n int")
 
 
 def _candidates(docs: DataFrame, span: int) -> DataFrame:
@@ -234,9 +235,10 @@ def _candidates(docs: DataFrame, span: int) -> DataFrame:
     texts = _texts(docs)
     rows = materialize(_anchors(texts, span), "anchors")
     shared = rows.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1").select("name")
-    hits = materialize(with_rows_of(rows, shared, "name").groupBy("a").agg(F.collect_set("name").alias("names")), "anchor-hits")
+    hits = materialize(with_rows_of(rows, shared, "name").groupBy("a", "b").agg(F.collect_set("name").alias("names")), "anchor-hits")
+    # both sides stay dealt by a and b: by a alone, all texts would be shuffled a second time
     whole = with_rows_of(texts, hits.select("a"), "a").groupBy("a", "b").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    return materialize(whole.join(hits, "a").withColumn("id", F.monotonically_increasing_id()), "anchor-texts")
+    return materialize(whole.join(hits, ["a", "b"]).withColumn("id", F.monotonically_increasing_id()), "anchor-texts")
 
 
 def _shared_spans(texts: DataFrame, span: int) -> DataFrame:
@@ -298,7 +300,8 @@ def repeated_windows(docs: DataFrame, span: int = SPAN) -> tuple[DataFrame, Data
     twice = materialize(windows.groupBy("name", "window").agg(F.sum("n").alias("n")).where("n > 1").select("name", "window"), "anchor-windows-twice")
     single = windows.where("own").join(twice, ["name", "window"], "left_semi").select("id", "start", (F.col("start") + span).alias("end"))
     run = F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")
-    return texts, settled.unionByName(single).groupBy("id").agg(F.collect_list(run).alias("covered"))
+    # written, so that what it shuffles is gone before texts are shuffled
+    return texts, materialize(settled.unionByName(single).groupBy("id").agg(F.collect_list(run).alias("covered")), "anchor-runs")
 
 
 def _union(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,8 +323,10 @@ def _left(docs: DataFrame, span: int) -> DataFrame:
                 left = [cut(t, list(zip(start.tolist(), end.tolist(), strict=True))) for t, (start, end) in zip(part["text"], runs, strict=True)]
                 yield part[["a", "b"]].assign(n_removed=[int((end - start).sum()) for start, end in runs], left=left)
 
-    texts, runs = repeated_windows(docs, span)
-    return materialize(texts.select("id", "a", "b", "text").join(runs, "id").select("a", "b", "text", "covered").mapInPandas(run, "a long, b long, n_removed long, left string"), "without-repeats")
+    with shuffle_files_removed(docs.sparkSession):
+        texts, runs = repeated_windows(docs, span)
+        left = texts.select("id", "a", "b", "text").join(runs, "id").select("a", "b", "text", "covered").mapInPandas(run, "a long, b long, n_removed long, left string")
+        return materialize(left, "without-repeats")
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
