@@ -288,3 +288,12 @@ def test_only_keys_with_many_spans_are_sliced(spark, monkeypatch):
             got = sorted(str(tuple(r)) for r in overlap_join(left, right, ["k"], ("a", "b"), ("x", "y"), how, slice_days=n).collect())
             want = want or got
             assert got == want, (how, limit)
+
+
+def test_rows_joined_as_of_stay_partitioned_by_their_key(spark):
+    left, right = (spark.range(10).selectExpr("id % 3 AS k", f"id AS {c}") for c in ("t", "s"))
+    joined = joins.asof_join(left.repartition("k"), right.repartition("k"), ["k"], "t", "s")
+    plan = joined.selectExpr("*", "count(*) OVER (PARTITION BY k) AS n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
+    narrow = joins.asof_join(left.selectExpr("CAST(k AS INT) AS k", "t"), right, ["k"], "t", "s")
+    assert dict(narrow.dtypes)["k"] == "int" and sorted(narrow.collect()) == sorted((i % 3, i, i) for i in range(10))

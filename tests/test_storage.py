@@ -243,3 +243,31 @@ def test_what_each_outing_tells_is_listed_in_place_of_its_json(spark):
     whole = {r.g: json.loads(r.last3_outings_json) for r in wide.wide_history(*args, facts=["g"]).collect()}
     once = {r.g: r.last3_outings for r in wide.wide_history(*args, facts=["g"], each=lambda text: f"get_json_object({text}, '$.g')").collect()}
     assert once == {g: [x["g"] for x in listed] for g, listed in whole.items()} and once["g5"] == ["g4", "g3", "g2"]
+
+
+def test_wide_rollups_are_of_the_last_outings_only_and_equal_in_small_batches(spark):
+    values = [1.0, float("nan"), 3.0, float("inf"), 5.0, 6.0, None, 8.0, 9.0, 11.0]
+    rows = [(p, dt.date(2024, 1, 1) + dt.timedelta(g // 2 if p else g), g, v, 1, False) for p in range(3) for g, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "p int, d date, g int, ff_x double, pitches int, role_switch boolean")
+    told = []
+    for batch in (10_000, 2):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        out = wide.wide_history(df, "p", ["d", "g"], "pitches", ["ff"], ["x"], 3, facts=["g"])
+        told.append({(r.p, r.g): (r.ff_x_last3_mean, r.ff_x_last3_slope, r.ff_x_last3_avg_delta, r.last3_outings_json) for r in out.collect()})
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert str(told[0]) == str(told[1])  # a nan is no other nan's equal
+    assert str(told[0][0, 4][0]) == "nan" and told[0][0, 5][0] == float("inf")  # what is not a number is in the mean of the outings after it
+    assert told[0][0, 7][:3] == (5.5, -1.0, 1.0) and told[0][0, 9][:3] == (8.5, -1.0, 1.0)  # and in no later one's
+
+
+def test_steps_make_what_an_outing_tells_one_after_the_other(spark):
+    df = spark.createDataFrame([("a", dt.date(2024, 1, d), d, d * 1.0, d, d % 2 == 0) for d in range(1, 5)], "p string, d date, g int, ff_x double, pitches int, role_switch boolean")
+    steps = [lambda text: f"from_json({text}, 'g int, ff struct<x: double>')", lambda x: f"concat_ws(':', {x}.g, {x}.ff.x)"]
+    out = wide.wide_history(df, "p", ["d", "g"], "pitches", ["ff"], ["x"], 2, facts=["g"], each=steps)
+    assert {r.g: r.last2_outings for r in out.collect()} == {1: [], 2: ["1:1.0"], 3: ["2:2.0", "1:1.0"], 4: ["3:3.0", "2:2.0"]}
+
+
+def test_an_outing_is_shuffled_by_its_person_once(spark):
+    plan = wide_queries.outing_features_wide(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    wide_rows = [line for line in plan.split("\n") if "Exchange hashpartitioning(l_suppkey#" in line]
+    assert len(wide_rows) == 3  # outings, and narrow ones of spans: by day, by supplier
